@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracles
 from .common import table
 from .exact_dedup import exact_dedup
+from .near_dedup import near_dedup
 from .quality import quality
 from .secrets import secret_report
 
@@ -22,12 +23,16 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op10_exact_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op9_minhash_near_dedup, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
