@@ -14,6 +14,7 @@ from .near_dedup import near_dedup
 from .packing import Packing, pack
 from .quality import quality
 from .secrets import secret_report
+from .substring import substring_dedup
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,7 +43,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_best_fit_packing, op9_minhash_near_dedup, op10_exact_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_best_fit_packing, op6_substring_dedup, op9_minhash_near_dedup, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
