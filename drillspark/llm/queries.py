@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracles
 from .common import table
 from .exact_dedup import exact_dedup
+from .language import identify
+from .language import learn as learn_languages
 from .near_dedup import near_dedup
 from .packing import Packing, pack
 from .quality import quality
 from .secrets import secret_report
 from .substring import substring_dedup
+from .toxicity import toxicity
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +37,15 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn_languages(docs))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -43,7 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_best_fit_packing, op6_substring_dedup, op9_minhash_near_dedup, op10_exact_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_best_fit_packing, op6_substring_dedup, op7_toxicity, op8_language_id, op9_minhash_near_dedup, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
