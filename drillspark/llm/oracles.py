@@ -72,4 +72,19 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-SQL = {"op2_quality_rules": OP2, "op3_secret_scans": OP3, "op10_exact_dedup": OP10}
+OP1 = r"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS lines FROM documents),
+pages AS (SELECT host, count(*) AS pages FROM docs GROUP BY host),
+cut AS (SELECT row_id, host, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM docs WHERE text IS NOT NULL),
+bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key FROM cut),
+often AS (
+  SELECT host, key FROM (SELECT DISTINCT row_id, host, key FROM bare WHERE key <> '') JOIN pages USING (host)
+  GROUP BY host, key, pages HAVING count(*) >= 5 AND count(*) > pages * 0.2),
+clean AS (
+  SELECT row_id, count(*) AS n_lines, count(*) FILTER (o.key IS NOT NULL) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (o.key IS NULL) AS clean_text
+  FROM bare b LEFT JOIN often o ON b.host = o.host AND b.key = o.key GROUP BY row_id)
+SELECT doc_id, source, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(clean_text, '') AS clean_text
+FROM docs LEFT JOIN clean USING (row_id)
+"""
+
+SQL = {"op1_line_dedup": OP1, "op2_quality_rules": OP2, "op3_secret_scans": OP3, "op10_exact_dedup": OP10}
