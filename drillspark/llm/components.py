@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating large-star and small-star rounds on DataFrames."""
+"""Connected components of an edge table by contraction: each round merges every node into one of its neighbours."""
 
 from __future__ import annotations
 
@@ -8,33 +8,40 @@ from pyspark.sql import functions as F
 from .common import drop_stored, spread_lookup, store
 
 
-def _with_least(edges: DataFrame, total: int) -> DataFrame:
-    """(u, v, m): each edge with the least of u and all its neighbours. Hot nodes are dealt to many tasks."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n")).withColumn("m", F.least("m", "u"))
-    return spread_lookup(edges, least, "u", "_n", total, F.col("v"), "inner").drop("_n")
-
-
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 80) -> DataFrame:
     """(node, component) for all nodes of ``edges`` (u, v); the component is its least node. No edges give no rows.
 
-    Every round writes its edges to the shared folder. The tables stay distributed; only a count and a checksum come to the driver.
+    A node moves to the best of itself and its neighbours, and edges are carried over to where their ends have moved, until none
+    is left. Best is the least id in the first two rounds, which settles stars around their least node at once, and the least
+    hash, drawn anew, from then on, which shortens any chain by a share of its nodes. Every round is written to the shared
+    folder; only counts come to the driver.
     """
-    now = store(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-    for _ in range(rounds):
-        if not state[0]:
-            break
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, 2 * state[0]).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        mid = store(large, "edges")
-        small = _with_least(mid, state[0])
-        nxt = store(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        found = nxt.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        drop_stored(now, mid)
-        now, same = nxt, found == state
-        state = found
-        if same:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    now = store(edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+    count, moves = now.count(), []
+    spark = edges.sparkSession
+    while count:
+        if len(moves) == rounds:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        best = (lambda c: F.col(c)) if len(moves) < 2 else (lambda c, turn=len(moves): F.xxhash64(c, F.lit(turn)))
+        both = now.union(now.select("v", "u")).select("u", F.struct(best("v").alias("k"), F.col("v").alias("to")).alias("b"))
+        near = both.groupBy("u").agg(F.min("b").alias("b"), F.count(F.lit(1)).alias("n"))
+        own = F.struct(best("u").alias("k"), F.col("u").alias("to"))
+        moved = store(near.select(F.col("u").alias("node"), F.least("b", own)["to"].alias("to"), "n"), "moves")
+        moves.append(moved)
+        left = spread_lookup(now.withColumnRenamed("u", "node"), moved, "node", "n", 2 * count, F.col("v"), "inner").select(F.col("to").alias("u"), F.col("v").alias("node"))
+        right = spread_lookup(left, moved, "node", "n", 2 * count, F.col("u"), "inner").select("u", F.col("to").alias("v"))
+        nxt = store(right.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+        drop_stored(now)
+        now, count = nxt, nxt.count()
+    if not moves:
+        return spark.createDataFrame([], "node bigint, component bigint")
+    # where each node has gone in the end; nodes that drop out of later rounds stay where they are
+    at = moves[-1].select("node", "to")
+    for earlier in reversed(moves[:-1]):
+        later = at.withColumnsRenamed({"node": "to", "to": "end"})
+        at = earlier.select("node", "to").join(later, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
+    if len(moves) <= 2:
+        return at.withColumnRenamed("to", "component")
+    at = store(at, "ends")
+    least = at.groupBy("to").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("n"))
+    return spread_lookup(at, store(least, "least"), "to", "n", at.count(), F.col("node"), "inner").select("node", "component")

@@ -2,7 +2,8 @@
 
 Circulant MinHash: one permutation scatters the shingles, a second one, circularly shifted by k, gives coordinate k of the
 signature. Bands of the signature make buckets; links are confirmed by exact Jaccard similarity on full shingle sets.
-Identical sets are one class from the start, and buckets are never expanded into all pairs as long as a component links them.
+Identical sets are one class from the start. Buckets are not expanded into all pairs: members meet the leaders of their
+buckets, and only those of other components go on, to be paired over their rarest shingles.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
+from .common import gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
 from .components import components
 
 
@@ -29,8 +30,8 @@ class MinHash:
     percent: int = 75
     rows: int = 5
     bands: int = 48
-    #: Buckets up to this size are compared pair by pair across components; larger ones are split by a second band first.
-    bucket: int = 48
+    #: Each class is compared with so many leaders of its buckets before the rest is looked at.
+    leaders: int = 3
 
 
 SIGNED = "doc_id bigint, n_shingles bigint, fp binary, bands array<bigint>"
@@ -127,6 +128,25 @@ class _Linker:
         return store(met.where(F.lit(100) * F.col("both") >= F.lit(self.cfg.percent) * (F.col("na") + F.col("nb") - F.col("both"))).select("u", "v"), "links")
 
 
+    def rare_pairs(self, reps: DataFrame, alike) -> DataFrame:
+        """Candidate pairs (u, v) across components of ``reps`` (rep, n, component), none that is alike left out.
+
+        Two sets that reach the similarity share one of the (1 - similarity) * n + 1 rarest shingles of each, so passages that
+        many documents share make no candidates. Shingles of a single document only use up that number.
+        """
+        items = reps.join(self.sets.dropDuplicates(["rep"]), "rep").select("rep", "n", "component", F.explode("items").alias("item"))
+        often = store(items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-items")
+        held = spread_lookup(items, often, "item", "df", total_of(often, "df"), F.col("rep"), "inner")
+        needed = F.col("n") - F.ceil(F.col("n") * self.cfg.percent / 100) + 1 - (F.col("n") - F.size("shared"))
+        ranked = held.groupBy("rep", "n", "component").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
+        rare = ranked.where(needed > 0).select("rep", "n", "component", F.explode(F.slice("shared", F.lit(1), needed.cast("int"))).alias("_r")).select("rep", "n", "component", F.col("_r.item").alias("item"))
+        rare = store(rare, "rare-items")
+        between = rare.groupBy("item").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("item")
+        a = rare.join(between, "item", "left_semi").select("item", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
+        b = rare.select("item", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
+        return a.join(b, "item").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv"))).select("u", "v").distinct()
+
+
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with the component of their class; a class without links is its own."""
     return entries.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -148,42 +168,21 @@ def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
     buckets = store(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("lead")).where("size > 1"), "buckets")
     members = store(spread_lookup(entries, buckets, "key", "size", total_of(buckets, "size"), F.col("rep"), "inner"), "members")
 
-    # first each class with the least leader of its buckets, then with the other leaders, then across what is still apart
-    star = members.where("rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).select(F.col("lead.rep").alias("u"), F.col("rep").alias("v")).distinct()
-    wanted = members.select("rep").distinct()
-    linker = _Linker(docs, linked, wanted, cfg)
-    links = linker.confirm(star.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    # first each class with the least leaders of its buckets, which settles groups of copies without looking at all pairs
+    star = members.where("rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("lead.rep")), 1, cfg.leaders).alias("leads"))
+    linker = _Linker(docs, linked, members.select("rep").distinct(), cfg)
+    links = linker.confirm(star.select(F.explode("leads").alias("u"), F.col("rep").alias("v")))
     labels = store(components(links), "labels")
-
-    apart = _labelled(members, labels)
-    pairs = apart.join(labels.select(F.col("node").alias("_lead"), F.col("component").alias("_of")), F.col("lead.rep") == F.col("_lead"), "left")
-    pairs = pairs.where((F.col("component") != F.coalesce("_of", "lead.rep")) & alike(F.col("n"), F.col("lead.n"))).select(F.col("lead.rep").alias("u"), F.col("rep").alias("v")).distinct()
-    more = linker.confirm(pairs)
-    links = links.union(more)
-    labels2 = store(components(links), "labels")
-
-    level = members.where("size > 2").select("key", "rep", "n")
-    for depth in range(3):
-        level = _labelled(level, labels2)
-        mixed = level.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("key", "size")
-        mixed = store(mixed, "mixed")
-        if mixed.isEmpty():
-            break
-        level = store(spread_lookup(level, mixed, "key", "size", total_of(mixed, "size"), F.col("rep"), "inner"), "mixed-members")
-        last = depth == 2
-        small = level if last else level.where(F.col("size") <= cfg.bucket)
-        a = small.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-        b = small.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-        across = a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv"))).select("u", "v").distinct()
-        links = links.union(linker.confirm(across))
-        if last:
-            break
-        # a pair that is alike shares many bands: a second one splits a large bucket without parting it
-        large = level.where(F.col("size") > cfg.bucket).select("key", "rep", "n")
-        second = large.join(linked.select("rep", F.col("bands").alias("_bands")), "rep").select("rep", "n", "key", F.explode("_bands").alias("_other")).where("key != _other")
-        level = second.select("rep", "n", F.xxhash64(F.least("key", "_other"), F.greatest("key", "_other")).alias("key")).distinct()
-        labels2 = store(components(links), "labels")
-    final = store(components(links), "labels")
+    # then what shares a bucket and is still apart, over the rarest shingles
+    apart = _labelled(members.where("size > 2").select("key", "rep", "n"), labels)
+    mixed = apart.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("size")).where("_a != _b").select("key", "size")
+    mixed = store(mixed, "mixed")
+    open_ = spread_lookup(apart, mixed, "key", "size", total_of(mixed, "size"), F.col("rep"), "inner").select("rep", "n", "component").distinct()
+    across = linker.confirm(linker.rare_pairs(store(open_, "open"), alike))
+    named = across.join(labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(labels.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+    joined = store(components(named.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))), "joined")
+    final = classes.where("rep is not null").select("rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("_c"))
+    final = final.join(joined.select(F.col("node").alias("_c"), F.col("component").alias("_to")), "_c", "left").select(F.col("rep").alias("node"), F.coalesce("_to", "_c").alias("component"))
     verdicts = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("fp", "copies", F.coalesce("component", "rep").alias("component"))
     verdicts = store(verdicts, "verdicts")
     out = spread_lookup(signed.select("doc_id", "n_shingles", "fp"), verdicts, "fp", "copies", total_of(verdicts, "copies"), F.col("doc_id"))
