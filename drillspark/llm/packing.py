@@ -7,7 +7,6 @@ the next round, where groups of a bounded number of them are best-fit again, unt
 from __future__ import annotations
 
 import zlib
-from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,18 +33,45 @@ class Packing:
 
 
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, at bigint, fill int"
-_CACHE_WORDS = 200_000
+#: Distinct pre-tokens whose ids a task keeps.
+_CACHE_WORDS = 400_000
+#: Words of ASCII and Latin-1 letters are lower-cased and cut here as the tokenizer does it; all others go to it as they are.
+_SAFE = "^[\\x21-\\x7E\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
+_CUT = "('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z\u00DF-\u00F6\u00F8-\u00FF0-9]+)"
+_TOGETHER = 100
 
 
 class WordTokenizer:
-    """Ids of whole texts, by tokenizing every distinct run between ASCII white space once. Only for tokenizers that never join across it."""
+    """Ids of whole texts, with every distinct pre-token tokenized once. Only for tokenizers that drop white space, lower-case,
+    and cut words into letters, single digits and other signs."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), OrderedDict()
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self._forget()
+
+    def _forget(self) -> None:
+        # pre-tokens, their ids end to end, and where each one's begin
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def _learn(self, plain: list[str], odd: list[str]) -> None:
+        for a in range(0, len(plain), 64 * _TOGETHER):
+            groups = [plain[i : i + _TOGETHER] for i in range(a, min(len(plain), a + 64 * _TOGETHER), _TOGETHER)]
+            found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+            sizes = [np.bincount(np.array(e.word_ids), minlength=len(g)) for e, g in zip(found, groups, strict=True)]
+            self._add(np.concatenate([np.array(e.ids, np.uint32) for e in found]), np.concatenate(sizes))
+        if odd:
+            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            self._add(np.concatenate(found), np.array([len(x) for x in found]))
+        self.known = pa.concat_arrays([self.known, pa.array([*plain, *odd], pa.large_string())])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and each text's offsets into them."""
@@ -53,22 +79,33 @@ class WordTokenizer:
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
         coded = words.dictionary_encode()
-        distinct, known = coded.dictionary.to_pylist(), self.known
-        new = [w for w in distinct if w not in known]
-        if len(known) + len(new) > _CACHE_WORDS:
-            known.clear()
-            new = distinct
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, np.uint32)
-        lists = [known[w] for w in distinct]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        starts, codes = np.concatenate([[0], np.cumsum(sizes)]), coded.indices.to_numpy()
-        each = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        flat = np.concatenate(lists)
-        # position i of the result is the (i - its word's first position)-th id of that word
-        ids = flat[np.repeat(starts[:-1][codes] - ends[:-1], each) + np.arange(ends[-1])]
-        return ids, ends[offsets]
+        distinct = coded.dictionary
+        safe = pc.and_not(pc.match_substring_regex(distinct, _SAFE), pc.match_substring(distinct, "<|"))
+        cut = pc.utf8_rtrim(pc.replace_substring_regex(pc.utf8_lower(distinct), _CUT, "\\1\n"), "\n")
+        # a blank in front keeps a word that is left whole apart from pre-tokens that look the same
+        whole = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), distinct, pa.scalar(" ", pa.large_string()))
+        parts = pc.split_pattern(pc.if_else(safe, cut, whole), "\n")
+        pieces = parts.flatten().dictionary_encode()
+        new = self._unknown(pieces.dictionary)
+        if len(self.known) + len(new) > _CACHE_WORDS:
+            self._forget()
+            new = self._unknown(pieces.dictionary)
+        self._learn([w for w in new if w[0] != " "], [w for w in new if w[0] == " "])
+        number = pc.index_in(pieces.dictionary, value_set=self.known).to_numpy()
+        ids, ends = _gathered(self.flat, self.starts, number[pieces.indices.to_numpy()])
+        # of distinct words, then of all words in their order
+        ids, word_ends = _gathered(ids, ends[parts.offsets.to_numpy()], coded.indices.to_numpy())
+        return ids, word_ends[offsets]
+
+    def _unknown(self, pieces: pa.Array) -> list[str]:
+        return pieces.filter(pc.is_null(pc.index_in(pieces, value_set=self.known))).to_pylist()
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs flat[starts[i]:starts[i + 1]] for every i of ``index``, end to end, and where they end (0 first)."""
+    sizes = np.diff(starts)[index]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return flat[np.repeat(starts[:-1][index] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
