@@ -38,7 +38,7 @@ def components(edges: DataFrame, rounds: int = 80) -> DataFrame:
     # where each node has gone in the end; nodes that drop out of later rounds stay where they are
     at = moves[-1].select("node", "to")
     for earlier in reversed(moves[:-1]):
-        later = at.withColumnsRenamed({"node": "to", "to": "end"})
+        later = at.select(F.col("node").alias("to"), F.col("to").alias("end"))
         at = earlier.select("node", "to").join(later, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
     if len(moves) <= 2:
         return at.withColumnRenamed("to", "component")

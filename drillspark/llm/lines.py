@@ -52,25 +52,25 @@ def line_dedup(docs: DataFrame, cfg: Boilerplate = Boilerplate(), host: str = "s
     one host. A null text stays null and counts as a page. Each row is a page, repeated rows too. Text without boilerplate is
     unchanged. If nothing is left, the text is empty. No documents give no rows.
     """
-    site = F.coalesce(F.col(host), F.lit("")).alias("host")
-    found = store(boilerplate_lines(docs.select(site, "text"), cfg), "boilerplate").withColumnsRenamed({"host": "_host", "lines": "_boiler", "pages": "_pages"})
-    size = found.agg(F.coalesce(F.sum(F.size("_boiler") * 16 + 64), F.lit(0))).first()[0]
-    rows = docs.withColumn("_site", site)
+    others = [c for c in docs.columns if c != "text"]
+    # the document's own columns travel in a struct, so none can clash with a name used here
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), F.col("text").alias("body"), F.coalesce(F.col(host), F.lit("")).alias("site"))
+    found = store(boilerplate_lines(rows.select(F.col("site").alias("host"), F.col("body").alias("text")), cfg), "boilerplate")
+    size = found.agg(F.coalesce(F.sum(F.size("lines") * 16 + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(found.drop("_pages")), F.col("_site") == F.col("_host"), "left")
+        joined = rows.join(F.broadcast(found.select("host", "lines")), F.col("site") == F.col("host"), "left")
     else:
-        total = total_of(found, "_pages")
-        hot = F.col("_pages") * HOT_SHARE >= F.lit(total)
-        salts = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("_salt")
-        hosts = found.where(hot).select(F.col("_host").alias("_hot"))
-        rows = rows.join(F.broadcast(hosts), F.col("_site") == F.col("_hot"), "left").withColumn("_deal", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
-        joined = rows.join(found.select("_host", "_boiler", salts), (F.col("_site") == F.col("_host")) & (F.col("_deal") == F.col("_salt")), "left")
-    text = F.col("text")
+        hot = F.col("pages") * HOT_SHARE >= F.lit(total_of(found, "pages"))
+        salts = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+        rows = rows.join(F.broadcast(found.where(hot).select(F.col("host").alias("hot"))), F.col("site") == F.col("hot"), "left")
+        rows = rows.withColumn("deal", F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("body"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+        joined = rows.join(found.select("host", "lines", salts), (F.col("site") == F.col("host")) & (F.col("deal") == F.col("salt")), "left")
+    text = F.col("body")
     # only texts that hold a boilerplate line are taken apart
-    here = F.array_intersect(F.transform(_lines(text), _key), F.col("_boiler"))
-    marked = joined.withColumn("_here", F.when(F.col("_boiler").isNull() | text.isNull(), F.lit(None)).otherwise(here))
-    kept = F.filter(_lines(text), lambda line: ~F.array_contains(F.col("_here"), _key(line)))
-    hit = F.coalesce(F.size("_here") > 0, F.lit(False))
-    n_lines = F.coalesce(F.size(_lines(text)), F.lit(0))
-    out = marked.withColumn("_kept", F.when(hit, kept))
-    return out.select(*[F.when(hit, F.array_join("_kept", "\n")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("_n_lines"), F.when(hit, n_lines - F.size("_kept")).otherwise(0).cast("long").alias("_n_dropped"))
+    here = F.array_intersect(F.transform(_lines(text), _key), F.col("lines"))
+    marked = joined.withColumn("here", F.when(F.col("lines").isNull() | text.isNull(), F.lit(None)).otherwise(here))
+    hit = F.coalesce(F.size("here") > 0, F.lit(False))
+    out = marked.withColumn("kept", F.when(hit, F.filter(_lines(text), lambda line: ~F.array_contains(F.col("here"), _key(line)))))
+    n_lines = F.when(text.isNull(), 0).otherwise(F.size(_lines(text)))
+    clean = F.when(hit, F.array_join("kept", "\n")).otherwise(text)
+    return out.select(*[clean.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns], n_lines.cast("long").alias("_n_lines"), F.when(hit, n_lines - F.size("kept")).otherwise(0).cast("long").alias("_n_dropped"))

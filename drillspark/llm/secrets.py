@@ -128,18 +128,27 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     Null texts stay null. Spans that overlap are replaced together. Documents without findings pass unchanged.
     """
     found = secret_spans(docs).where(F.size("found") > 0)
-    found = store(found.groupBy("doc_id", "blob").agg(F.first("found").alias("_found")).withColumnsRenamed({"doc_id": "_doc", "blob": "_of"}), "secret-findings")
+    found = store(found.groupBy("doc_id", "blob").agg(F.first("found").alias("found")), "secret-findings")
     rows = found.count()
-    text, blob = F.col("text"), F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (blob == F.col("_of"))
-    joined = docs.join(F.broadcast(found) if rows * 256 <= 16_000_000 else found, on, "left")
+    others = [c for c in docs.columns if c != "text"]
+    # the document's own columns travel in a struct, so none can clash with a name used here
+    own = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), F.col("doc_id").alias("own_id"), F.col("text").alias("body"), F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("own_blob"))
+    on = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_blob") == F.col("blob"))
+    joined = own.join(F.broadcast(found) if rows * 256 <= 16_000_000 else found, on, "left")
+    text = F.col("body")
 
     def step(acc, s):
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out")))
 
-    clean = F.aggregate(F.array_sort("_found"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = joined.withColumn("text", F.when(F.col("_found").isNull(), text).otherwise(clean))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    clean = F.aggregate(F.array_sort("found"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    out = joined.withColumn("clean", F.when(F.col("found").isNull(), text).otherwise(clean))
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("clean").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("found").isNull(), F.col("doc")[c]).otherwise(F.length("clean").cast(docs.schema[c].dataType)).alias(c)
+        return F.col("doc")[c].alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
