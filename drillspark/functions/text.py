@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +15,6 @@ _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC. Spark has no built-in one: a vectorised function, called where text is not plain."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
         return s.map(lambda x: unicodedata.normalize("NFKC", x) if x is not None else None)

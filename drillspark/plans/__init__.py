@@ -1 +1 @@
-
+"""Whole plans over the operators."""
