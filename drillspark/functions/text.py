@@ -46,7 +46,7 @@ def token_pattern(token: str) -> str:
     latin = "[0-9A-Za-z]"
     left = f"(?<!{latin})" if re.match(latin, token[0]) else ""
     right = f"(?!{latin})" if re.match(latin, token[-1]) else ""
-    return f"{left}{re.sub(r'([^0-9A-Za-z一-鿿 ])', r'\\\\\1', token)}{right}"
+    return f"{left}{re.escape(token)}{right}"
 
 
 def label_matches(label: Column, candidates: list[str] | tuple[str, ...]) -> Column:
