@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -57,6 +58,13 @@ def drop_stored(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers get batches of at most 1000 rows or 16 MB, for they hold a batch and what is made of it at once."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        if not 0 < int(re.sub(r"[^-\d]", "", spark.conf.get(key))) <= most:
+            spark.conf.set(key, str(most))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, mix64, store, text_slices
+from .common import as_string, bounded_batches, mix64, store, text_slices
 
 
 @dataclass(frozen=True)
@@ -214,6 +214,7 @@ def _learnable(docs: DataFrame, cfg: LanguageModel) -> DataFrame:
 
 def learn(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> Identifier:
     """Models from the learnable rows of ``docs`` (doc_id, text, lang)."""
+    bounded_batches(docs.sparkSession)
     rows = _learnable(docs, cfg).withColumn("_spared", F.pmod(F.xxhash64("doc_id"), F.lit(cfg.spared)) == 0)
     counts = store(rows.where("not _spared").select("text", "lang").mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     least = 1

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
+from .common import bounded_batches, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
 from .components import components
 
 
@@ -159,7 +159,7 @@ def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
     text without words, is linked with nothing and stays. Texts with fewer words than a shingle are one shingle. Repeated rows
     of a doc_id share a verdict. A row without doc_id stays only if nothing with a doc_id is like it; then component_id is null.
     """
-    spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     alike = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(cfg.percent) * F.greatest(a, b)
     signed = store(docs.select("doc_id", "text").mapInArrow(_sign(cfg), SIGNED), "signed")
     classes = store(signed.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")

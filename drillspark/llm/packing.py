@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, text_slices, words_of
+from .common import bounded_batches, store, text_slices, words_of
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class Packing:
 
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, bin bigint, at bigint, fill int"
 #: Distinct pre-tokens whose ids a task keeps.
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 #: Words of ASCII and Latin-1 letters are lower-cased and cut here as the tokenizer does it; all others go to it as they are.
 _SAFE = "^[\\x21-\\x7E\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
 _CUT = "('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z\u00DF-\u00F6\u00F8-\u00FF0-9]+)"
@@ -95,6 +95,7 @@ class WordTokenizer:
         ids, ends = _gathered(self.flat, self.starts, number[pieces.indices.to_numpy()])
         # of distinct words, then of all words in their order
         ids, word_ends = _gathered(ids, ends[parts.offsets.to_numpy()], coded.indices.to_numpy())
+        pa.default_memory_pool().release_unused()
         return ids, word_ends[offsets]
 
     def _unknown(self, pieces: pa.Array) -> list[str]:
@@ -186,6 +187,7 @@ def pack(docs: DataFrame, cfg: Packing) -> DataFrame:
     longer than the capacity are cut. Repeated rows and null doc_ids are packed like any row. No documents give no rows.
     A task holds some 50 bytes a piece of its partition, and a later round ``group`` bins a task.
     """
+    bounded_batches(docs.sparkSession)
     placed = store(docs.select("doc_id", "text").mapInArrow(_tokenize_and_pack(cfg), PACKED), "pieces")
     moves = None  # (bin, to, by): where underfull bins of the first round have gone
     open_bins = store(placed.where((F.col("at") == 0) & (F.col("fill") <= cfg.capacity - cfg.slack)).select("bin", "fill"), "open-bins")

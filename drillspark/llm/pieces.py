@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, mix64, text_slices
+from .common import as_string, bounded_batches, mix64, text_slices
 
 BLANK = "\u2581"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -261,6 +261,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     A null or empty text has no ids. Texts are never cut. Characters without a piece are spelled as bytes where the model has
     them, else they are unknown. Repeated rows have repeated results, an empty table has none.
     """
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_encode(path), ENCODED)
 
 
@@ -288,4 +289,5 @@ def _round_trip(path: str):
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32, whether decoding gives the text again, and the ids."""
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_round_trip(path), "doc_id bigint, n_ids bigint, ids_crc32 bigint, round_trip boolean, ids array<int>")

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, drop_stored, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
+from .common import as_string, bounded_batches, drop_stored, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
 
 
 @dataclass(frozen=True)
@@ -161,6 +161,7 @@ def substring_dedup(docs: DataFrame, cfg: Phrases = Phrases()) -> DataFrame:
     words. Repeated rows are occurrences of each other. Windows are counted by 64-bit hashes and located by their words. No
     documents give no rows.
     """
+    bounded_batches(docs.sparkSession)
     # rows are told apart by doc_id and text, so repeated rows have repeated results and tasks can run again
     row = F.xxhash64("doc_id", "text").alias("row")
     texts = docs.select("doc_id", row, F.coalesce("text", F.lit("")).alias("text"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, text_slices, words_of
+from .common import bounded_batches, store, text_slices, words_of
 
 
 @dataclass(frozen=True)
@@ -152,6 +152,7 @@ class Scorer:
 def learn(docs: DataFrame, labels: DataFrame, cfg: Toxicity = Toxicity()) -> Scorer:
     """Voters, label model and classifier from labelled rows outside the held-out fold."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % cfg.folds
     known = labels.where(F.col("toxic").isNotNull() & (fold != cfg.held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     every = -(-known.count() // cfg.sample) or 1
