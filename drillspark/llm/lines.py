@@ -31,9 +31,8 @@ def _lines(text: Column) -> Column:
 
 
 def _key(line: Column) -> Column:
-    """128 bits for a line without the blanks around it."""
-    bare = F.btrim(line, F.lit(_BLANK))
-    return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit(1), bare).alias("b"))
+    """A hash of a line without the blanks around it: of a type that Spark's array functions look up by hash."""
+    return F.md5(F.btrim(line, F.lit(_BLANK)).cast("binary"))
 
 
 def boilerplate_lines(docs: DataFrame, cfg: Boilerplate = Boilerplate()) -> DataFrame:
@@ -56,7 +55,7 @@ def line_dedup(docs: DataFrame, cfg: Boilerplate = Boilerplate(), host: str = "s
     # the document's own columns travel in a struct, so none can clash with a name used here
     rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), F.col("text").alias("body"), F.coalesce(F.col(host), F.lit("")).alias("site"))
     found = store(boilerplate_lines(rows.select(F.col("site").alias("host"), F.col("body").alias("text")), cfg), "boilerplate")
-    size = found.agg(F.coalesce(F.sum(F.size("lines") * 16 + 64), F.lit(0))).first()[0]
+    size = found.agg(F.coalesce(F.sum(F.size("lines") * 48 + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         joined = rows.join(F.broadcast(found.select("host", "lines")), F.col("site") == F.col("host"), "left")
     else:
