@@ -87,4 +87,30 @@ SELECT doc_id, source, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropp
 FROM docs LEFT JOIN clean USING (row_id)
 """
 
-SQL = {"op1_line_dedup": OP1, "op2_quality_rules": OP2, "op3_secret_scans": OP3, "op10_exact_dedup": OP10}
+OP6 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS words FROM documents),
+places AS (SELECT row_id, words, unnest(range(1, len(words) - 33)) AS i FROM docs WHERE len(words) >= 35),
+windows AS (SELECT row_id, i, count(*) OVER (PARTITION BY array_to_string(words[i:i + 34], ' ')) AS n FROM places),
+gone AS (SELECT DISTINCT row_id, unnest(range(i, i + 35)) AS p FROM windows WHERE n > 1),
+placed AS (SELECT row_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM docs),
+kept AS (
+  SELECT row_id, count(*) FILTER (gone.p IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS text
+  FROM placed LEFT JOIN gone USING (row_id, p) GROUP BY row_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (row_id)
+"""
+
+OP9 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM docs WHERE len(words) > 0),
+sets AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') || '/' || least(len(words), 5) AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both_ FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM met JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * both_ >= 75 * (a.n + b.n - both_)),
+ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, w.v FROM reach r JOIN ways w ON r.to_id = w.u)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+SQL = {"op6_substring_dedup": OP6, "op9_minhash_near_dedup": OP9, "op1_line_dedup": OP1, "op2_quality_rules": OP2, "op3_secret_scans": OP3, "op10_exact_dedup": OP10}
