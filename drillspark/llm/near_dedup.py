@@ -132,19 +132,25 @@ class _Linker:
         """Candidate pairs (u, v) across components of ``reps`` (rep, n, component), none that is alike left out.
 
         Two sets that reach the similarity share one of the (1 - similarity) * n + 1 rarest shingles of each, so passages that
-        many documents share make no candidates. Shingles of a single document only use up that number.
+        many documents share make no candidates. Shingles of a single document only use up that number; as they cannot be
+        shared, how many there are also bounds the similarity of a pair. Of shingles that the same sets have, one is enough. A
+        pair is bound once more by where its first common shingle stands in both.
         """
         items = reps.join(self.sets.dropDuplicates(["rep"]), "rep").select("rep", "n", "component", F.explode("items").alias("item"))
         often = store(items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-items")
         held = spread_lookup(items, often, "item", "df", total_of(often, "df"), F.col("rep"), "inner")
-        needed = F.col("n") - F.ceil(F.col("n") * self.cfg.percent / 100) + 1 - (F.col("n") - F.size("shared"))
         ranked = held.groupBy("rep", "n", "component").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
-        rare = ranked.where(needed > 0).select("rep", "n", "component", F.explode(F.slice("shared", F.lit(1), needed.cast("int"))).alias("_r")).select("rep", "n", "component", F.col("_r.item").alias("item"))
+        own, share = F.size("shared"), self.cfg.percent
+        needed = F.col("n") - F.ceil(F.col("n") * share / 100) + 1 - (F.col("n") - own)
+        rare = ranked.where(needed > 0).select("rep", "n", "component", own.alias("s"), F.posexplode(F.slice("shared", F.lit(1), needed.cast("int"))).alias("_p", "_r")).select("rep", "n", "component", (F.col("s") - F.col("_p")).alias("s"), F.col("_r.df").alias("df"), F.col("_r.item").alias("item"))
         rare = store(rare, "rare-items")
-        between = rare.groupBy("item").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a != _b").select("item")
-        a = rare.join(between, "item", "left_semi").select("item", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-        b = rare.select("item", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-        return a.join(b, "item").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv"))).select("u", "v").distinct()
+        lists = rare.groupBy("item").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"), F.min("component").alias("_a"), F.max("component").alias("_b"), F.first("df").alias("df"))
+        one_each = store(lists.where("_a != _b").groupBy("k", "h").agg(F.min(F.struct("df", "item"))["item"].alias("item")).select("item", "k"), "rare-lists")
+        kept = store(spread_lookup(rare, one_each, "item", "k", total_of(one_each, "k"), F.col("rep"), "inner"), "rare-kept")
+        side = lambda x: kept.select("item", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("component").alias(f"c{x}"))
+        both = F.least("su", "sv")
+        bound = F.lit(100) * both >= F.lit(share) * (F.col("nu") + F.col("nv") - both)
+        return side("u").join(side("v"), "item").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv")) & bound).select("u", "v").distinct()
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
