@@ -31,7 +31,7 @@ class Parsed:
     def tables(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.__dataclass_fields__}
 
-    def register(self, prefix: str = "ddr_") -> None:
+    def register(self, prefix: str = "report_") -> None:
         """Make every table a view for SQL."""
         for k, v in self.tables().items():
             v.createOrReplaceTempView(prefix + k)
