@@ -3,7 +3,7 @@
 Circulant MinHash: one permutation scatters the shingles, a second one, circularly shifted by k, gives coordinate k of the
 signature. Bands of the signature make buckets; links are confirmed by exact Jaccard similarity on full shingle sets.
 Identical sets are one class from the start. Buckets are not expanded into all pairs: members meet the leaders of their
-buckets, and only those of other components go on, to be paired over their rarest shingles.
+buckets, and only those of other components go on: buckets of two as the pair they are, larger ones over their rarest shingles.
 """
 
 from __future__ import annotations
@@ -158,6 +158,12 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of pairs (u, v) of classes, those in different components."""
+    side = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    return pairs.join(side("u"), "u", "left").join(side("v"), "v", "left").where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+
+
 def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
     """Near-duplicate components of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -177,14 +183,18 @@ def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
     # first each class with the least leaders of its buckets, which settles groups of copies without looking at all pairs
     star = members.where("rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("lead.rep")), 1, cfg.leaders).alias("leads"))
     linker = _Linker(docs, linked, members.select("rep").distinct(), cfg)
-    links = linker.confirm(star.select(F.explode("leads").alias("u"), F.col("rep").alias("v")))
+    first = store(star.select(F.explode("leads").alias("u"), F.col("rep").alias("v")), "first-pairs")
+    links = linker.confirm(first)
     labels = store(components(links), "labels")
-    # then what shares a bucket and is still apart, over the rarest shingles
+    # then what shares a bucket and is still apart: buckets of two are one pair each, so a class has no more of them than bands
+    twos = members.where("size = 2 and rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).select(F.col("lead.rep").alias("u"), F.col("rep").alias("v")).distinct()
+    twos = _apart(twos.join(first, ["u", "v"], "left_anti"), labels)
+    # and larger ones are paired over the rarest shingles
     apart = _labelled(members.where("size > 2").select("key", "rep", "n"), labels)
     mixed = apart.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("size")).where("_a != _b").select("key", "size")
     mixed = store(mixed, "mixed")
     open_ = spread_lookup(apart, mixed, "key", "size", total_of(mixed, "size"), F.col("rep"), "inner").select("rep", "n", "component").distinct()
-    across = linker.confirm(linker.rare_pairs(store(open_, "open"), alike))
+    across = linker.confirm(linker.rare_pairs(store(open_, "open"), alike).union(twos).distinct())
     named = across.join(labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(labels.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
     joined = store(components(named.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))), "joined")
     final = classes.where("rep is not null").select("rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("_c"))
