@@ -148,7 +148,7 @@ _WORDS_SQL = "(VALUES " + ", ".join(f"('{a}', '{c}', {i})" for i, (a, c) in enum
 
 @query(f"SELECT doc_id, coalesce((SELECT code FROM {_WORDS_SQL} WHERE contains(lower(left(text, 60)), alias) ORDER BY length(alias) DESC, ord LIMIT 1), 'UNKNOWN') AS code FROM documents")
 def q_argmax_alias(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(classify.longest_keyword(F.lower(F.left("text", F.lit(60))), list(_WORDS)), F.lit("UNKNOWN")).alias("code"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(classify.longest_keyword(F.lower("text"), list(_WORDS)), F.lit("UNKNOWN")).alias("code"))
 
 
 @query("""SELECT p_partkey, CASE WHEN trim(lower(p_type)) = '' THEN 'UNKNOWN' WHEN starts_with(lower(p_type), 'wait') OR starts_with(lower(p_type), 'standby') THEN 'WAIT' WHEN lower(p_type) = 'drilling' THEN 'DRILL' ELSE 'OTHER' END AS code FROM part""")
