@@ -26,9 +26,8 @@ class LanguageModel:
     held_out: int = 2
     #: The models broadcast to executors hold this many n-grams at most, over all languages; beyond it the rarest counts are left out.
     grams: int = 2_000_000
-    #: One learnable text in so many is kept out of the counts; about ``calibration`` of these set the bounds of rejection.
+    #: One learnable text in so many is kept out of the counts; these set the bounds of rejection.
     spared: int = 8
-    calibration: int = 20_000
     slack: float = 1.4
     #: Shorter texts are too little evidence to reject.
     evidence: int = 20
@@ -229,25 +228,37 @@ def learn(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> Identifier:
         tables[lang] = (keys[own][order], n[own][order])
     model = Identifier(tables)
     if tables:
-        every = cfg.spared * max(1, rows.where("_spared").count() // cfg.calibration)
-        sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        _calibrate(model, sample.select("doc_id", "text", "lang").mapInArrow(_apply(shared, ["lang"]), f"doc_id bigint, lang string, {APPLIED}").where("lang = lang_pred").select("lang", "bits", "chars").toPandas(), cfg)
+        seen = rows.where("_spared").select("doc_id", "text", "lang").mapInArrow(_apply(shared, ["lang"]), f"doc_id bigint, lang string, {APPLIED}")
+        _calibrate(model, store(seen.where("lang = lang_pred").select("lang", "bits", "chars"), "spared"), cfg)
         shared.unpersist()
     return model
 
 
-def _calibrate(model: Identifier, seen, cfg: LanguageModel) -> None:
-    """A language's bound on bits per character: a level from long texts, and what short ones need above it."""
+def _calibrate(model: Identifier, seen: DataFrame, cfg: LanguageModel) -> None:
+    """A language's bound on bits per character: a level from long texts, and what short ones need above it.
+
+    All of ``seen`` (lang, bits, chars) counts. Bits are rounded for the level, so a language has few values of them. A language
+    with under 20 texts has the bound of all languages' texts together, or its own texts' if that is wider.
+    """
     model.evidence = cfg.evidence
+    rounded, long = F.round("bits", 3), F.col("chars") >= 200
+    of = F.when(F.count_if(long) >= 20, F.percentile(F.when(long, rounded), F.lit(0.999))).otherwise(F.percentile(rounded, F.lit(0.999)))
+    # the pool is the row without a language
+    levels = seen.groupingSets([["lang"], []], "lang").agg(F.count(F.lit(1)).alias("n"), of.alias("level")).collect()
+    level = {r["lang"]: r["level"] for r in levels if r["n"]}
+    if not level:
+        return
+    over = lambda x: F.max((F.col("bits") - F.lit(level[x])) * F.sqrt("chars"))
+    pooled = (level[None], max(seen.agg(over(None)).first()[0], 1.0))
+    own = F.try_element_at(F.create_map(*[F.lit(x) for p in level.items() if p[0] is not None for x in p]), F.col("lang"))
+    widths = {r["lang"]: max(r["w"], 1.0) for r in seen.groupBy("lang").agg(F.max((F.col("bits") - own) * F.sqrt("chars")).alias("w")).collect()}
+    enough = {r["lang"] for r in levels if r["n"] >= 20}
     for j, lang in enumerate(model.langs):
-        own = seen[seen.lang == lang]
-        if len(own) < 20:
-            continue
-        long = own[own.chars >= 200]
-        level = (long if len(long) >= 20 else own).bits.quantile(0.999)
-        width = ((own.bits - level) * np.sqrt(own.chars)).max()
-        model.bounds[j] = level * cfg.slack, max(width, 1.0) * cfg.slack
+        bound = (level[lang], widths[lang]) if lang in widths else pooled
+        if lang not in enough:
+            bound = tuple(max(x, y) for x, y in zip(bound, pooled, strict=True))
+        model.bounds[j] = bound[0] * cfg.slack, bound[1] * cfg.slack
 
 
 APPLIED = "lang_pred string, score double, rejected boolean, bits double, chars bigint"
