@@ -83,7 +83,7 @@ def quality(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, sto
     clean = F.coalesce("text", F.lit(""))
     split = docs.select("doc_id", clean.alias("_text"), *[v.alias(k) for k, v in metrics(clean).items()])
     words, n_words, lines = F.col("_words"), F.col("n_words"), F.size("_lines")
-    stops = F.array(*[F.lit(w) for w in dict.fromkeys([*stop_words, *(w.capitalize() for w in stop_words)])])
+    stops = list(dict.fromkeys([*stop_words, *(w.capitalize() for w in stop_words)]))
     counted = split.select(
         "doc_id",
         F.size(words).cast("long").alias("n_words"),
@@ -92,8 +92,7 @@ def quality(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, sto
         (lines - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(words).cast("long").alias("n_repeat_words"),
         lines.cast("long").alias("n_lines"),
-        # kinds of stop words in the text, against how many a text of that length can show
-        F.size(F.array_intersect(words, stops)).cast("long").alias("n_stop_kinds"),
+        F.size(F.filter(words, lambda w: w.isin(stops))).cast("long").alias("n_stop_words"),
         F.regexp_count("_text", F.lit("!!")).cast("long").alias("n_shouts"),
     )
     base_failed = (n_words < 50) | (100 * F.col("n_repeat_words") > 50 * n_words)
@@ -102,7 +101,7 @@ def quality(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, sto
         "n_words": n_words.cast("double"),
         "mean_word_length": ratio("word_chars", "n_words"),
         "symbol_ratio": ratio("n_symbols", "n_words"),
-        "stop_word_ratio": F.coalesce(F.try_divide(F.col("n_stop_kinds").cast("double"), F.least(n_words, F.lit(100))), F.lit(0.0)),
+        "stop_word_ratio": ratio("n_stop_words", "n_words"),
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "shouting_ratio": ratio("n_shouts", "n_words"),
         "repeat_word_ratio": ratio("n_repeat_words", "n_words"),
