@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ HOT_SHARE, FAN = 256, 64
 #: Python workers take a batch of rows in slices of about this many bytes of text.
 SLICE_BYTES = 4_000_000
 _own_dir: list[str] = []
+_open: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local master has a temporary folder of its own; on a cluster there is no folder to guess, which is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="drillspark-"))
     return _own_dir[0]
@@ -65,6 +73,19 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def ship(spark: SparkSession, value):
+    """Broadcast ``value`` with its classes by value, so executors need no copy of this package. ``unpacked`` opens it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(shared):
+    """What ``ship`` has packed; a worker process opens each package once."""
+    if shared.id not in _open:
+        _open.clear()
+        _open[shared.id] = pickle.loads(shared.value)
+    return _open[shared.id]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -74,17 +95,32 @@ def total_of(df: DataFrame, column: str) -> int:
     return int(df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0])
 
 
-def spread_lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, row_id: Column, how: str = "left") -> DataFrame:
+def _dealt_join(left: DataFrame, right: DataFrame, key: str, hot: list, row_id: Column, how: str) -> DataFrame:
+    """Join on ``key``; rows of ``left`` with a hot key are dealt to FAN tasks, each of which has the hot rows of ``right``."""
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(hot)
+    left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(row_id), F.lit(FAN)).cast("int")).otherwise(F.lit(0)))
+    right = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(FAN - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def spread_lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, row_id: Column, how: str = "inner", weights: DataFrame | None = None) -> DataFrame:
     """Join ``left`` to ``right``, which has one row a key and in ``weight`` the rows that ``left`` has for it.
 
-    Hot keys (at most HOT_SHARE of them, which bounds the broadcast) are dealt to FAN tasks by ``row_id``.
+    Only hot keys come to the driver, at most HOT_SHARE of them; they are read from ``weights`` if that is named, so give it
+    where ``right`` is no written table. ``row_id`` deals their rows out.
     """
-    is_hot = F.col(weight) * HOT_SHARE >= F.lit(total)
-    hot = right.where(is_hot).select(key).withColumn("_hot", F.lit(True))
-    salted_left = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(FAN)).cast("int")).otherwise(F.lit(0)))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(FAN - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(salts))
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt", "_hot")
+    counted = right if weights is None else weights
+    hot = [r[0] for r in counted.where(F.col(weight) * HOT_SHARE >= F.lit(total)).select(key).collect()]
+    return _dealt_join(left, right, key, hot, row_id, how)
+
+
+def deal_lookup(left: DataFrame, right: DataFrame, key: str, row_id: Column, seen: DataFrame, how: str = "inner") -> DataFrame:
+    """Like ``spread_lookup`` where the rows a key has in ``left`` are those that it has in ``seen``, a written table."""
+    total = seen.count()
+    counts = seen.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull() & (F.col("n") * HOT_SHARE >= F.lit(total)))
+    return _dealt_join(left, right, key, [r[0] for r in counts.select(key).collect()], row_id, how)
 
 
 def small_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, row_bytes: int, limit: int = 16_000_000) -> DataFrame:

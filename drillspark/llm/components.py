@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, spread_lookup, store
+from .common import deal_lookup, drop_stored, spread_lookup, store
 
 
 def components(edges: DataFrame, rounds: int = 80) -> DataFrame:
@@ -28,8 +28,8 @@ def components(edges: DataFrame, rounds: int = 80) -> DataFrame:
         own = F.struct(best("u").alias("k"), F.col("u").alias("to"))
         moved = store(near.select(F.col("u").alias("node"), F.least("b", own)["to"].alias("to"), "n"), "moves")
         moves.append(moved)
-        left = spread_lookup(now.withColumnRenamed("u", "node"), moved, "node", "n", 2 * count, F.col("v"), "inner").select(F.col("to").alias("u"), F.col("v").alias("node"))
-        right = spread_lookup(left, moved, "node", "n", 2 * count, F.col("u"), "inner").select("u", F.col("to").alias("v"))
+        left = spread_lookup(now.withColumnRenamed("u", "node"), moved, "node", "n", 2 * count, F.col("v")).select(F.col("to").alias("u"), F.col("v").alias("node"))
+        right = spread_lookup(left, moved, "node", "n", 2 * count, F.col("u")).select("u", F.col("to").alias("v"))
         nxt = store(right.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
         drop_stored(now)
         now, count = nxt, nxt.count()
@@ -39,9 +39,9 @@ def components(edges: DataFrame, rounds: int = 80) -> DataFrame:
     at = moves[-1].select("node", "to")
     for earlier in reversed(moves[:-1]):
         later = at.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        at = earlier.select("node", "to").join(later, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
+        at = deal_lookup(earlier.select("node", "to"), later, "to", F.col("node"), earlier.select("to"), "left").select("node", F.coalesce("end", "to").alias("to"))
     if len(moves) <= 2:
         return at.withColumnRenamed("to", "component")
     at = store(at, "ends")
     least = at.groupBy("to").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("n"))
-    return spread_lookup(at, store(least, "least"), "to", "n", at.count(), F.col("node"), "inner").select("node", "component")
+    return spread_lookup(at, store(least, "least"), "to", "n", at.count(), F.col("node")).select("node", "component")

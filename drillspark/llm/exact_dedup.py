@@ -11,7 +11,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, shuffle_partitions, spread_lookup, store, total_of
+from .common import fresh_path, shuffle_partitions, spread_lookup, store
 
 SCHEMA = "digest BINARY, doc_id BIGINT"
 
@@ -43,7 +43,7 @@ class DigestIndex:
         unseen.select("digest", F.col("newest").alias("doc_id")).repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
         verdicts = groups.select("digest", "group_size").join(self.table().select("digest", F.col("doc_id").alias("keep_id")).hint("merge"), "digest")
-        out = spread_lookup(digests, verdicts, "digest", "group_size", total_of(groups, "group_size"), F.col("doc_id"), "inner")
+        out = spread_lookup(digests, verdicts, "digest", "group_size", digests.count(), F.col("doc_id"), weights=groups)
         return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -3,7 +3,8 @@
 Circulant MinHash: one permutation scatters the shingles, a second one, circularly shifted by k, gives coordinate k of the
 signature. Bands of the signature make buckets; links are confirmed by exact Jaccard similarity on full shingle sets.
 Identical sets are one class from the start. Buckets are not expanded into all pairs: members meet the leaders of their
-buckets, and only those of other components go on: buckets of two as the pair they are, larger ones over their rarest shingles.
+buckets, and only buckets that still mix components go on: those of two as the pair they are, larger ones over their rarest
+shingles.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
+from .common import bounded_batches, deal_lookup, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
 from .components import components
 
 
@@ -32,11 +33,15 @@ class MinHash:
     bands: int = 48
     #: Each class is compared with so many leaders of its buckets before the rest is looked at.
     leaders: int = 3
+    #: So many bands are looked at for that.
+    settling: int = 8
 
 
 SIGNED = "doc_id bigint, n_shingles bigint, fp binary, bands array<bigint>"
 SETS = "rep bigint, items array<bigint>"
 _BLOCK = 1 << 16
+#: Sets with a shingle in common are compared in blocks of about so many.
+LIST_BLOCK = 2048
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,52 +121,60 @@ def _full_sets(words: int):
 class _Linker:
     """Candidate pairs of class representatives in, confirmed links out."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, wanted: DataFrame, cfg: MinHash):
-        self.cfg = cfg
-        ids = wanted.join(classes.select("rep", "fp"), "rep").select(F.col("rep").alias("doc_id"), "fp")
-        self.sets = store(docs.select("doc_id", "text").join(ids, "doc_id").mapInArrow(_full_sets(cfg.words), SETS), "shingle-sets")
+    def __init__(self, docs: DataFrame, classes: DataFrame, cfg: MinHash):
+        self.docs, self.classes, self.cfg, self.sets = docs.select("doc_id", "text"), classes.select("rep", "fp"), cfg, None
+
+    def read(self, wanted: DataFrame) -> None:
+        """Make the full sets of the classes ``wanted`` (rep), as far as they are not there."""
+        new = wanted if self.sets is None else wanted.join(self.sets.select("rep"), "rep", "left_anti")
+        ids = new.join(self.classes, "rep").select(F.col("rep").alias("doc_id"), "fp")
+        found = store(self.docs.join(ids, "doc_id").mapInArrow(_full_sets(self.cfg.words), SETS), "shingle-sets")
+        self.sets = found if self.sets is None else self.sets.union(found)
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (u, v), those whose sets reach the similarity."""
+        """Of ``pairs`` (u, v), a written table, those whose sets reach the similarity. Leaders of many pairs are dealt to many tasks."""
         a, b = self.sets.select(F.col("rep").alias("v"), F.col("items").alias("b")), self.sets.select(F.col("rep").alias("u"), F.col("items").alias("a"))
-        met = pairs.join(a, "v").join(b, "u").select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("both"))
+        met = deal_lookup(deal_lookup(pairs, a, "v", F.col("u"), pairs), b, "u", F.col("v"), pairs)
+        met = met.select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("both"))
         return store(met.where(F.lit(100) * F.col("both") >= F.lit(self.cfg.percent) * (F.col("na") + F.col("nb") - F.col("both"))).select("u", "v"), "links")
 
-
     def rare_pairs(self, reps: DataFrame, alike) -> DataFrame:
         """Candidate pairs (u, v) across components of ``reps`` (rep, n, component), none that is alike left out.
 
         Two sets that reach the similarity share one of the (1 - similarity) * n + 1 rarest shingles of each, so passages that
         many documents share make no candidates. Shingles of a single document only use up that number; as they cannot be
         shared, how many there are also bounds the similarity of a pair. Of shingles that the same sets have, one is enough. A
-        pair is bound once more by where its first common shingle stands in both.
+        pair is bound once more by where its first common shingle stands in both. A shingle's sets are compared block by block
+        with each other, so a long list is the work of many tasks; only pairs that pass every bound leave the join.
         """
         items = reps.join(self.sets.dropDuplicates(["rep"]), "rep").select("rep", "n", "component", F.explode("items").alias("item"))
         often = store(items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-items")
-        held = spread_lookup(items, often, "item", "df", total_of(often, "df"), F.col("rep"), "inner")
+        held = spread_lookup(items, often, "item", "df", total_of(often, "df"), F.col("rep"))
         ranked = held.groupBy("rep", "n", "component").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
         own, share = F.size("shared"), self.cfg.percent
         needed = F.col("n") - F.ceil(F.col("n") * share / 100) + 1 - (F.col("n") - own)
-        rare = ranked.where(needed > 0).select("rep", "n", "component", own.alias("s"), F.posexplode(F.slice("shared", F.lit(1), needed.cast("int"))).alias("_p", "_r")).select("rep", "n", "component", (F.col("s") - F.col("_p")).alias("s"), F.col("_r.df").alias("df"), F.col("_r.item").alias("item"))
-        rare = store(rare, "rare-items")
-        lists = rare.groupBy("item").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"), F.min("component").alias("_a"), F.max("component").alias("_b"), F.first("df").alias("df"))
-        one_each = store(lists.where("_a != _b").groupBy("k", "h").agg(F.min(F.struct("df", "item"))["item"].alias("item")).select("item", "k"), "rare-lists")
-        kept = store(spread_lookup(rare, one_each, "item", "k", total_of(one_each, "k"), F.col("rep"), "inner"), "rare-kept")
-        side = lambda x: kept.select("item", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("component").alias(f"c{x}"))
+        first = ranked.where(needed > 0).select("rep", "n", "component", own.alias("s"), F.posexplode(F.slice("shared", F.lit(1), needed.cast("int"))).alias("_p", "_r"))
+        rare = store(first.select("rep", "n", "component", (F.col("s") - F.col("_p")).alias("s"), F.col("_r.df").alias("df"), F.col("_r.item").alias("item")), "rare-items")
+        # which sets a list has: two independent sums of 64-bit hashes
+        sums = [F.sum(F.xxhash64("rep", F.lit(turn)).cast("decimal(38,0)")).alias(f"h{turn}") for turn in (1, 2)]
+        lists = rare.groupBy("item").agg(F.count(F.lit(1)).alias("k"), *sums, F.min("component").alias("_a"), F.max("component").alias("_b"), F.first("df").alias("df"))
+        one_each = lists.where("_a != _b").groupBy("k", "h1", "h2").agg(F.min(F.struct("df", "item"))["item"].alias("item")).select("item", "k")
+        one_each = store(one_each, "rare-lists")
+        kept = spread_lookup(rare, one_each, "item", "k", total_of(one_each, "k"), F.col("rep"))
+        blocks = F.ceil(F.col("k") / LIST_BLOCK).cast("int")
+        kept = store(kept.select("rep", "n", "component", "s", "item", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block")), "rare-kept")
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        side = lambda x: [F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("component").alias(f"c{x}")]
+        left = kept.select("item", *side("u"), F.col("block").alias("_i"), every.alias("_j"))
+        right = kept.select("item", *side("v"), every.alias("_i"), F.col("block").alias("_j"))
         both = F.least("su", "sv")
         bound = F.lit(100) * both >= F.lit(share) * (F.col("nu") + F.col("nv") - both)
-        return side("u").join(side("v"), "item").where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv")) & bound).select("u", "v").distinct()
-
-
-def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries with the component of their class; a class without links is its own."""
-    return entries.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        return left.join(right, ["item", "_i", "_j"]).where((F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & alike(F.col("nu"), F.col("nv")) & bound).select("u", "v").distinct()
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Of pairs (u, v) of classes, those in different components."""
-    side = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-    return pairs.join(side("u"), "u", "left").join(side("v"), "v", "left").where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Classes with their component; a class without links is its own."""
+    return classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
 def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
@@ -176,31 +189,39 @@ def near_dedup(docs: DataFrame, cfg: MinHash = MinHash()) -> DataFrame:
     signed = store(docs.select("doc_id", "text").mapInArrow(_sign(cfg), SIGNED), "signed")
     classes = store(signed.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     linked = classes.where("rep is not null")
-    entries = linked.select("rep", "n", F.explode("bands").alias("key"))
-    buckets = store(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("lead")).where("size > 1"), "buckets")
-    members = store(spread_lookup(entries, buckets, "key", "size", total_of(buckets, "size"), F.col("rep"), "inner"), "members")
-
-    # first each class with the least leaders of its buckets, which settles groups of copies without looking at all pairs
-    star = members.where("rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("lead.rep")), 1, cfg.leaders).alias("leads"))
-    linker = _Linker(docs, linked, members.select("rep").distinct(), cfg)
-    first = store(star.select(F.explode("leads").alias("u"), F.col("rep").alias("v")), "first-pairs")
-    links = linker.confirm(first)
-    labels = store(components(links), "labels")
-    # then what shares a bucket and is still apart: buckets of two are one pair each, so a class has no more of them than bands
-    twos = members.where("size = 2 and rep != lead.rep").where(alike(F.col("n"), F.col("lead.n"))).select(F.col("lead.rep").alias("u"), F.col("rep").alias("v")).distinct()
-    twos = _apart(twos.join(first, ["u", "v"], "left_anti"), labels)
-    # and larger ones are paired over the rarest shingles
-    apart = _labelled(members.where("size > 2").select("key", "rep", "n"), labels)
-    mixed = apart.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("size")).where("_a != _b").select("key", "size")
-    mixed = store(mixed, "mixed")
-    open_ = spread_lookup(apart, mixed, "key", "size", total_of(mixed, "size"), F.col("rep"), "inner").select("rep", "n", "component").distinct()
-    across = linker.confirm(linker.rare_pairs(store(open_, "open"), alike).union(twos).distinct())
-    named = across.join(labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(labels.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+    linker = _Linker(docs, linked, cfg)
+
+    # first each class with the least leaders of its buckets of a few bands, which settles groups of copies without looking at all pairs
+    few = linked.select("rep", "n", F.explode(F.slice("bands", 1, cfg.settling)).alias("key"))
+    leads = store(few.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("lead")).where("size > 1"), "leads")
+    met = spread_lookup(few, leads, "key", "size", total_of(leads, "size"), F.col("rep")).where("rep != lead.rep").where(alike(F.col("n"), F.col("lead.n")))
+    star = met.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("lead.rep")), 1, cfg.leaders).alias("leads"))
+    star = store(star.select(F.explode("leads").alias("u"), F.col("rep").alias("v")), "star-pairs")
+    linker.read(star.select(F.explode(F.array("u", "v")).alias("rep")).distinct())
+    labels = store(components(linker.confirm(star)), "labels")
+
+    # then every band: only buckets that still hold two components matter, and counts alone say which those are
+    entries = _labelled(linked, labels).select("rep", "n", "component", F.explode("bands").alias("key"))
+    ends = [f(F.struct("rep", "n")).alias(name) for f, name in ((F.min, "low"), (F.max, "high"))]
+    mixed = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("_a"), F.max("component").alias("_b"), *ends).where("_a != _b")
+    mixed = store(mixed.select("key", "size", "low", "high"), "mixed")
+    # a bucket of two is the pair of its ends
+    twos = mixed.where("size = 2").where(alike(F.col("low.n"), F.col("high.n"))).select(F.col("low.rep").alias("u"), F.col("high.rep").alias("v")).distinct()
+    twos = store(twos.join(star, ["u", "v"], "left_anti"), "twos")
+    # larger ones are paired over the rarest shingles
+    many = store(mixed.where("size > 2").select("key", "size"), "mixed-many")
+    open_ = store(spread_lookup(entries, many, "key", "size", total_of(many, "size"), F.col("rep")).select("rep", "n", "component").distinct(), "open")
+    linker.read(open_.select("rep").union(twos.select(F.explode(F.array("u", "v")))).distinct())
+    pairs = store(linker.rare_pairs(open_, alike).union(twos).distinct(), "pairs")
+    across = linker.confirm(pairs)
+
+    # links between components join these
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    named = deal_lookup(deal_lookup(across, of("u"), "u", F.col("v"), across, "left"), of("v"), "v", F.col("u"), across, "left")
     joined = store(components(named.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))), "joined")
-    final = classes.where("rep is not null").select("rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("_c"))
-    final = final.join(joined.select(F.col("node").alias("_c"), F.col("component").alias("_to")), "_c", "left").select(F.col("rep").alias("node"), F.coalesce("_to", "_c").alias("component"))
-    verdicts = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("fp", "copies", F.coalesce("component", "rep").alias("component"))
-    verdicts = store(verdicts, "verdicts")
-    out = spread_lookup(signed.select("doc_id", "n_shingles", "fp"), verdicts, "fp", "copies", total_of(verdicts, "copies"), F.col("doc_id"))
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    verdicts = deal_lookup(_labelled(classes.select("fp", "copies", "rep"), labels), moved, "component", F.col("fp"), labels.select("component"), "left")
+    verdicts = store(verdicts.select("fp", "copies", F.coalesce("_to", "component").alias("component")), "verdicts")
+    out = spread_lookup(signed.select("doc_id", "n_shingles", "fp"), verdicts, "fp", "copies", total_of(verdicts, "copies"), F.col("doc_id"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, shuffle_partitions, spread_lookup, store, total_of
+from .common import fresh_path, shuffle_partitions, spread_lookup, store
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ class SecretLedger:
         once.select("blob", F.lit(self.version).alias("rule_version"), "found").repartition(self.buckets, "blob").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
         findings = blobs.select("blob", "_paths").join(self.table().select("blob", "found").hint("merge"), "blob")
-        return spread_lookup(paths, findings, "blob", "_paths", total_of(blobs, "_paths"), F.col("doc_id"), "inner").drop("_paths")
+        return spread_lookup(paths, findings, "blob", "_paths", paths.count(), F.col("doc_id"), weights=blobs).drop("_paths")
 
 
 def secret_spans(docs: DataFrame, path: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -169,7 +169,7 @@ def substring_dedup(docs: DataFrame, cfg: Phrases = Phrases()) -> DataFrame:
     anchors = scanned.select("row", F.inline("anchors"))
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("passage") == F.max("passage")).alias("alike")).where("n > 1")
     grams = store(grams, "grams")
-    marked = spread_lookup(anchors.select("row", "gram", "at"), grams, "gram", "n", total_of(grams, "n"), F.xxhash64("row", "at"), "inner")
+    marked = spread_lookup(anchors.select("row", "gram", "at"), grams, "gram", "n", total_of(grams, "n"), F.xxhash64("row", "at"))
     marks = marked.groupBy("row").agg(F.collect_set(F.when(F.col("alike"), F.col("at"))).alias("full"), F.collect_set(F.when(~F.col("alike"), F.col("at"))).alias("part"))
     # repeated rows stand for themselves in the counts above; one of each is enough from here on
     held = store(texts.select("row", "text").join(marks, "row").dropDuplicates(["row"]), "held-texts")
@@ -177,7 +177,7 @@ def substring_dedup(docs: DataFrame, cfg: Phrases = Phrases()) -> DataFrame:
     windows = store(held.where(F.size("part") > 0).select("row", "text", "part").mapInArrow(_marked_windows(cfg), WINDOWS), "windows")
     counted = windows.join(times, "row").groupBy("window").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).where("n > 1")
     counted = store(counted, "recurring")
-    found = spread_lookup(windows, counted, "window", "rows", total_of(counted, "rows"), F.xxhash64("row", "at"), "inner")
+    found = spread_lookup(windows, counted, "window", "rows", total_of(counted, "rows"), F.xxhash64("row", "at"))
     single = found.groupBy("row").agg(F.collect_set("at").alias("windows"))
     shards = held.select("row", "text", "full").join(single, "row", "left")
     removed = store(shards.mapInArrow(_locate(cfg), REMOVED), "removed")
