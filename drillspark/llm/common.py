@@ -75,15 +75,16 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def ship(spark: SparkSession, value):
     """Broadcast ``value`` with its classes by value, so executors need no copy of this package. ``unpacked`` opens it."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
 def unpacked(shared):
-    """What ``ship`` has packed; a worker process opens each package once."""
-    if shared.id not in _open:
+    """What ``ship`` has packed; a task opens a package once."""
+    name, packed = shared
+    if name not in _open:
         _open.clear()
-        _open[shared.id] = pickle.loads(shared.value)
-    return _open[shared.id]
+        _open[name] = pickle.loads(packed.value)
+    return _open[name]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

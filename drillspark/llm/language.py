@@ -1,8 +1,9 @@
 """Operator 8, language ID: interpolated Kneser-Ney character models, one a language, stored in sorted hash arrays.
 
-N-grams of all training texts are counted by Spark. The models' keys are sorted by hash, so a bucket of the hash's leading
-bits leads to a key in a few vectorised probes. The language with the lowest cross-entropy per character wins; a calibrated
-bound, wider for short texts, rejects what none of the models fits.
+N-grams of all training texts are counted by Spark, and none is pruned; discounts and continuation counts come from all of
+them. The models' keys are sorted by hash, so a bucket of the hash's leading bits leads to a key in a few vectorised probes.
+Models beyond a size are cut into shards, which documents pass one after another. The language with the lowest cross-entropy
+per character wins; a calibrated bound, wider for short texts, rejects what none of the models fits.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, bounded_batches, mix64, store, text_slices
+from .common import as_string, bounded_batches, mix64, ship, store, text_slices, unpacked
 
 
 @dataclass(frozen=True)
@@ -24,8 +25,8 @@ class LanguageModel:
     #: Texts whose crc32(doc_id) has this remainder are never learned from.
     folds: int = 4
     held_out: int = 2
-    #: The models broadcast to executors hold this many n-grams at most, over all languages; beyond it the rarest counts are left out.
-    grams: int = 2_000_000
+    #: About so many bytes of n-grams are broadcast at once. Larger models have more shards; results are the same.
+    shard_bytes: int = 128_000_000
     #: One learnable text in so many is kept out of the counts; these set the bounds of rejection.
     spared: int = 8
     slack: float = 1.4
@@ -98,34 +99,41 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.table({"lang": pa.array([lang] * len(keys)), "gram": keys.view(np.int64), "n": n.astype(np.int64)}).to_batches(max_chunksize=100_000)
 
 
+#: Shards hold whole slots; the slot of an n-gram is that of its second and third character, which all it is discounted against share.
+SLOTS = 1021
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return ((codes >> np.uint64(16)) & np.uint64(0xFFFFFFFF)) % np.uint64(SLOTS)
+
+
 class KneserNey:
-    """One language's interpolated model over packed grams: for each order sorted grams with probabilities, sorted contexts with back-off weights."""
+    """One language's interpolated model over packed grams: for each order sorted grams with probabilities, sorted contexts with back-off weights.
+
+    ``grams`` are sorted and may be those of a shard; ``pairs`` are all runs of two with their continuation counts.
+    """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, symbols: int):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, discounts: dict[int, float], symbols: int):
         self.levels = []
-        keys, n, below = grams, counts.astype(np.float64), []
-        for m in range(ORDER, 0, -1):
-            below.append((m, keys, n))
-            if m > 1:
-                # lower orders count in how many contexts a run of characters has been seen
-                suffix, _ = keys & np.uint64((1 << 16 * (m - 1)) - 1), None
-                keys, n = _summed(suffix, np.ones(len(suffix)))
+        # lower orders count in how many contexts a run of characters has been seen
+        three = _summed(grams & np.uint64((1 << 48) - 1), np.ones(len(grams)))
+        one = _summed(pairs & np.uint64(0xFFFF), np.ones(len(pairs)))
         self.base = 1.0 / symbols
-        for m, keys, n in reversed(below):
-            ones, twos = float((n == 1).sum()), float((n == 2).sum())
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+        for m, (keys, n) in enumerate((one, (pairs, pair_counts.astype(np.float64)), three, (grams, counts.astype(np.float64))), 1):
             context = keys >> np.uint64(16)
             contexts, total = _summed(context, n)
             kinds = _summed(context, np.ones(len(n)))[1]
-            gamma = discount * kinds / total
+            gamma = discounts[m] * kinds / total
             at = np.searchsorted(contexts, context)
             lower = self.probability(keys & np.uint64((1 << 16 * (m - 1)) - 1), m - 1)
-            self.levels.append((keys, np.maximum(n - discount, 0) / total[at] + gamma[at] * lower, contexts, gamma))
+            self.levels.append((keys, np.maximum(n - discounts[m], 0) / total[at] + gamma[at] * lower, contexts, gamma))
 
     def probability(self, codes: np.ndarray, m: int = ORDER) -> np.ndarray:
         if m == 0:
             return np.full(len(codes), self.base)
         keys, p, contexts, gamma = self.levels[m - 1]
+        if not len(keys):
+            return self.probability(codes & np.uint64((1 << 16 * (m - 1)) - 1), m - 1)
         lower = self.probability(codes & np.uint64((1 << 16 * (m - 1)) - 1), m - 1)
         context = codes >> np.uint64(16)
         c = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
@@ -134,23 +142,19 @@ class KneserNey:
         return np.where(keys[k] == codes, p[k], out)
 
 
-class Identifier:
-    """All languages' models; known grams have their log-probabilities in one array sorted by hash."""
+class Shard:
+    """All languages' models over some slots; known grams have their log-probabilities in one array sorted by hash."""
 
-    def __init__(self, tables: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(tables)
-        symbols = len(np.unique(np.concatenate([k & np.uint64(0xFFFF) for k, _ in tables.values()]))) + 1 if tables else 1
-        self.models = [KneserNey(*tables[x], symbols) for x in self.langs]
-        known = np.unique(np.concatenate([k for k, _ in tables.values()])) if tables else np.empty(0, np.uint64)
+    def __init__(self, models: list[KneserNey], first: int, end: int):
+        self.models, self.first, self.end = models, first, end
+        known = np.unique(np.concatenate([m.levels[-1][0] for m in models]))
         hashes = mix64(known)
         order = np.argsort(hashes)
         self.hashes, known = hashes[order], known[order]
         self.bits = max(1, int(len(known)).bit_length())
         self.buckets = np.searchsorted(self.hashes, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int64)
         self.deepest = int(np.diff(np.append(self.buckets, len(known))).max(initial=0))
-        self.bits_of = np.stack([-np.log2(m.probability(known)) for m in self.models], 1).astype(np.float32) if self.langs else np.empty((0, 0), np.float32)
-        self.bounds = np.full((len(self.langs), 2), np.inf)
-        self.evidence = 0
+        self.bits_of = np.stack([-np.log2(m.probability(known)) for m in self.models], 1).astype(np.float32)
 
     def bits_for(self, codes: np.ndarray) -> np.ndarray:
         hashes = mix64(codes)
@@ -169,10 +173,10 @@ class Identifier:
         return out
 
     def entropies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bits per character by language, the characters, and the letters of each text."""
+        """Bits of each text's characters in this shard's slots by language, the text's characters, and its letters."""
         ids, offsets, letters = coded_texts(texts)
         n = len(offsets) - 1
-        total = np.zeros((n, len(self.langs)))
+        total = np.zeros((n, len(self.models)))
         doc = np.repeat(np.arange(n), np.diff(offsets))
         for a in range(0, len(ids), _BLOCK):
             # ORDER - 1 ids before the block give its first contexts
@@ -182,28 +186,42 @@ class Identifier:
                 continue
             codes = _grams(block)
             inside = np.arange(max(0, a - ORDER + 1) + ORDER - 1, max(0, a - ORDER + 1) + ORDER - 1 + len(codes)) - offsets[own] >= ORDER - 1
-            bits, own = self.bits_for(codes[inside]), own[inside]
+            if self.end - self.first < SLOTS:
+                slot = _slot(codes)
+                inside &= (slot >= self.first) & (slot < self.end)
+            codes, own = codes[inside], own[inside]
+            bits = self.bits_for(codes)
             low = int(own[0]) if len(own) else 0
-            for j in range(len(self.langs)):
+            for j in range(len(self.models)):
                 part = np.bincount(own - low, bits[:, j])
                 total[low : low + len(part), j] += part
-        chars = np.diff(offsets) - (ORDER - 1)
-        return total / np.maximum(chars, 1)[:, None], chars, letters
-
-    def decide(self, texts: pa.Array):
-        """Language or und, a confidence from 0 to 1, the winner's cross-entropy, and whether it is rejected."""
-        n = len(texts)
-        if not self.langs:
-            return ["und"] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
-        bits, chars, letters = self.entropies(texts)
-        best = bits.argmin(1)
-        least = bits[np.arange(n), best]
-        # evidence of a few characters counts in full, then the confidence saturates
-        odds = np.exp2(-(bits - least[:, None]) * np.minimum(chars, 40)[:, None])
-        score = np.where(letters > 0, 1.0 / odds.sum(1), 0.0)
-        level, width = self.bounds[best, 0], self.bounds[best, 1]
-        rejected = (letters == 0) | (chars >= self.evidence) & (least > level + width / np.sqrt(np.maximum(chars, 1)))
-        return [self.langs[b] if x else "und" for b, x in zip(best.tolist(), letters.tolist(), strict=True)], score, least, rejected, chars
+        return total, np.diff(offsets) - (ORDER - 1), letters
+
+
+@dataclass
+class Languages:
+    """What ``learn`` gives: languages, their packed shards, and their bounds of rejection."""
+
+    langs: list[str]
+    shards: list
+    bounds: np.ndarray
+    evidence: int = 0
+
+
+def decide(langs: list[str], bounds: np.ndarray, evidence: int, total: np.ndarray, chars: np.ndarray, letters: np.ndarray):
+    """Language or und, a confidence from 0 to 1, the winner's cross-entropy, and whether it is rejected."""
+    n = len(chars)
+    if not langs:
+        return ["und"] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
+    bits = total / np.maximum(chars, 1)[:, None]
+    best = bits.argmin(1)
+    least = bits[np.arange(n), best]
+    # evidence of a few characters counts in full, then the confidence saturates
+    odds = np.exp2(-(bits - least[:, None]) * np.minimum(chars, 40)[:, None])
+    score = np.where(letters > 0, 1.0 / odds.sum(1), 0.0)
+    level, width = bounds[best, 0], bounds[best, 1]
+    rejected = (letters == 0) | (chars >= evidence) & (least > level + width / np.sqrt(np.maximum(chars, 1)))
+    return [langs[b] if x else "und" for b, x in zip(best.tolist(), letters.tolist(), strict=True)], score, least, rejected
 
 
 def _learnable(docs: DataFrame, cfg: LanguageModel) -> DataFrame:
@@ -211,31 +229,64 @@ def _learnable(docs: DataFrame, cfg: LanguageModel) -> DataFrame:
     return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold != cfg.held_out)).select("doc_id", "text", "lang")
 
 
-def learn(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> Identifier:
+def learn(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> Languages:
     """Models from the learnable rows of ``docs`` (doc_id, text, lang)."""
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = _learnable(docs, cfg).withColumn("_spared", F.pmod(F.xxhash64("doc_id"), F.lit(cfg.spared)) == 0)
-    counts = store(rows.where("not _spared").select("text", "lang").mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    least = 1
-    while counts.where(F.col("n") >= least).count() > cfg.grams:
-        least += 1
-    found = counts.where(F.col("n") >= least).toArrow().sort_by([("lang", "ascending"), ("gram", "ascending")])
+    slot = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFFFFFF)) % SLOTS
+    counts = rows.where("not _spared").select("text", "lang").mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = store(counts.withColumn("slot", slot.cast("int")), "grams")
+    # how often runs of three, two and one have been continued to the left
+    shorter = lambda df, m: df.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * m) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    threes = shorter(counts, 3)
+    pairs = store(shorter(threes, 2), "grams-of-two")
+    orders = {4: counts, 3: threes, 2: pairs, 1: shorter(pairs, 1)}
+    discounts: dict[str, dict[int, float]] = {}
+    for m, df in orders.items():
+        for r in df.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect():
+            discounts.setdefault(r["lang"], {})[m] = r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5
+    model = Languages(sorted(discounts), [], np.full((len(discounts), 2), np.inf))
+    if not model.langs:
+        return model
+    two = _by_language(pairs)
+    symbols = len(np.unique(np.concatenate([keys & np.uint64(0xFFFF) for keys, _ in two.values()]))) + 1
+    for first, end in _shards(counts, len(model.langs), cfg.shard_bytes):
+        found = _by_language(counts.where(F.col("slot").between(first, end - 1)))
+        none = np.empty(0, np.uint64), np.empty(0, np.int64)
+        model.shards.append(ship(spark, Shard([KneserNey(*found.get(x, none), *two[x], discounts[x], symbols) for x in model.langs], first, end)))
+    seen = _pass(rows.where("_spared").select("doc_id", "text", "lang"), model, ["doc_id", "lang"], f"doc_id bigint, lang string, {APPLIED}")
+    _calibrate(model, store(seen.where("lang = lang_pred").select("lang", "bits", "chars"), "spared"), cfg)
+    return model
+
+
+def _by_language(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted grams and their counts."""
+    found = counts.select("lang", "gram", "n").toArrow()
     langs, keys, n = np.array(found.column("lang").to_pylist(), object), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
-    tables = {}
+    out = {}
     for lang in dict.fromkeys(langs.tolist()):
         own = langs == lang
         order = np.argsort(keys[own])
-        tables[lang] = (keys[own][order], n[own][order])
-    model = Identifier(tables)
-    if tables:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        seen = rows.where("_spared").select("doc_id", "text", "lang").mapInArrow(_apply(shared, ["lang"]), f"doc_id bigint, lang string, {APPLIED}")
-        _calibrate(model, store(seen.where("lang = lang_pred").select("lang", "bits", "chars"), "spared"), cfg)
-        shared.unpersist()
-    return model
+        out[lang] = (keys[own][order], n[own][order])
+    return out
+
 
+def _shards(counts: DataFrame, langs: int, most: int) -> list[tuple[int, int]]:
+    """Runs of slots, as [first, end), that hold about ``most`` bytes each; one slot at least."""
+    sizes = np.zeros(SLOTS, np.int64)
+    for r in counts.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["slot"]] = r["n"] * (56 + 4 * langs)
+    out, first, held = [], 0, 0
+    for slot, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            out.append((first, slot))
+            first, held = slot, 0
+        held += size
+    return [*out, (first, SLOTS)]
 
-def _calibrate(model: Identifier, seen: DataFrame, cfg: LanguageModel) -> None:
+
+def _calibrate(model: Languages, seen: DataFrame, cfg: LanguageModel) -> None:
     """A language's bound on bits per character: a level from long texts, and what short ones need above it.
 
     All of ``seen`` (lang, bits, chars) counts. Bits are rounded for the level, so a language has few values of them. A language
@@ -262,44 +313,75 @@ def _calibrate(model: Identifier, seen: DataFrame, cfg: LanguageModel) -> None:
 
 
 APPLIED = "lang_pred string, score double, rejected boolean, bits double, chars bigint"
+_SUMS = "array<double>"
+
 
+def _sums(part: pa.RecordBatch, shared):
+    """The texts' bits so far and in this shard, their characters and letters."""
+    total, chars, letters = unpacked(shared).entropies(part.column("text"))
+    before = part.column("sums")
+    if len(before) > before.null_count:
+        total += before.flatten().to_numpy().reshape(total.shape)
+    return total, chars, letters
 
-def _apply(shared, carried: list[str]):
+
+def _through(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for part in text_slices(batches):
-            decided = model.decide(part.column("text"))
-            lang, score, bits, rejected = decided[:4]
-            chars = decided[4] if len(decided) > 4 else np.zeros(len(lang), np.int64)
-            names = ["doc_id", *carried]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(lang), pa.array(score), pa.array(rejected), pa.array(bits), pa.array(chars, pa.int64())], [*names, "lang_pred", "score", "rejected", "bits", "chars"])
+            total = _sums(part, shared)[0]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(total) + 1, dtype=np.int32) * total.shape[1]), pa.array(total.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("text"), lists], ["doc", "text", "sums"])
 
     return run
 
 
-def identify(docs: DataFrame, model: Identifier, cfg: LanguageModel = LanguageModel()) -> DataFrame:
+def _finish(shared, langs, bounds, evidence, keep: list[str] | None, schema):
+    """With ``keep`` these columns and what was decided; else the documents themselves that are not rejected, in their schema."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            if shared is None:
+                _, offsets, letters = coded_texts(part.column("text"))
+                total, chars = np.zeros((part.num_rows, 0)), np.diff(offsets) - (ORDER - 1)
+            else:
+                total, chars, letters = _sums(part, shared)
+            lang, score, bits, rejected = decide(langs, bounds, evidence, total, chars, letters)
+            doc = part.column("doc")
+            field = lambda c: doc.field(doc.type.get_field_index(c))
+            if keep is not None:
+                yield pa.RecordBatch.from_arrays([*(field(c) for c in keep), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), pa.array(bits), pa.array(chars, pa.int64())], [*keep, "lang_pred", "score", "rejected", "bits", "chars"])
+            else:
+                columns = [pa.array(lang, pa.string()) if c == "lang" else part.column("text") if c == "text" else field(c) for c in schema]
+                yield pa.RecordBatch.from_arrays(columns, schema).filter(pa.array(~np.asarray(rejected)))
+
+    return run
+
+
+def _pass(docs: DataFrame, model: Languages, keep: list[str] | None, schema) -> DataFrame:
+    """``docs`` through all shards; what the shards but the last have summed is written between them."""
+    # the document's own columns travel in a struct, so none can clash with a name used here
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), "text", F.lit(None).cast(_SUMS).alias("sums"))
+    for shared in model.shards[:-1]:
+        rows = store(rows.mapInArrow(_through(shared), rows.schema), "language-sums")
+    return rows.mapInArrow(_finish(model.shards[-1] if model.shards else None, model.langs, model.bounds, model.evidence, keep, docs.columns), schema)
+
+
+def identify(docs: DataFrame, model: Languages, cfg: LanguageModel = LanguageModel()) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected, bits (cross-entropy per character) for every row of ``docs`` (doc_id, text).
 
     A null text, or one without letters, is ``und`` with score 0, and rejected. Without learnable rows all texts are ``und``.
     Rows without doc_id are learned from by nobody. Repeated rows have repeated results.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % cfg.folds
-    out = docs.select("doc_id", "text").mapInArrow(_apply(shared, []), f"doc_id bigint, {APPLIED}")
+    out = _pass(docs.select("doc_id", "text"), model, ["doc_id"], f"doc_id bigint, {APPLIED}")
     return out.select("doc_id", F.coalesce(fold == cfg.held_out, F.lit(True)).alias("held_out"), "lang_pred", "score", "rejected", "bits")
 
 
-def _keep(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            lang, _, _, rejected = shared.value.decide(part.column("text"))[:4]
-            columns = [pa.array(lang, part.schema.field(c).type) if c == "lang" else part.column(c) for c in part.schema.names]
-            yield pa.RecordBatch.from_arrays(columns, part.schema.names).filter(pa.array(~np.asarray(rejected)))
-
-    return run
-
-
 def known_language(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, with ``lang`` as identified; all columns stay, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, cfg))
-    return docs.mapInArrow(_keep(shared), docs.schema)
+    """The rows of ``docs`` whose language is not rejected, with ``lang`` as identified; all columns stay, no shuffle.
+
+    A null text, or one without letters, is rejected; a short text is not. Repeated rows have one verdict. Without learnable
+    rows none is known, so nothing stays.
+    """
+    return _pass(docs, learn(docs, cfg), None, docs.schema)
