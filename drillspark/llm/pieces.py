@@ -1,13 +1,14 @@
 """Operator 4, SentencePiece encoding and decoding, vectorised with numpy.
 
 Distinct words of a batch are grouped by length and advance together. Hashes of substrings probe the sorted keys of the
-pieces. Unigram models are solved by Viterbi: at every position the best predecessor is a vectorised maximum, kept as a back
-pointer. For BPE models Viterbi over scores does not give the ids that the merges give, so there the best-ranked pair of every
-word is merged, for all words of the group at once.
+pieces; at every position the best predecessor is a vectorised maximum, kept as a back pointer (Viterbi). For BPE models the
+ids that merging gives, which are the library's, can be had as well: there the best-ranked pair of every word is merged, for
+all words of the group at once. Long words take time in proportion to their length either way.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,10 @@ from .common import as_string, bounded_batches, mix64, text_slices
 
 BLANK = "\u2581"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _KNOWN_WORDS = 300_000
+#: Longer words are encoded one by one.
+_LONG = 64
 
 
 class Pieces:
@@ -53,6 +57,9 @@ class Pieces:
         order = np.argsort(hashes)
         self.keys, self.ids = hashes[order], usable[order]
         self.longest = max(len(self.text[i]) for i in usable)
+        # one bit of a million for each key: most substrings are no piece, and few of those are looked for
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self._bit(self.keys)] = True
 
     @classmethod
     def of(cls, pieces: list[tuple[str, float, int]], bpe: bool, prefix: bool = True, fallback: bool = False) -> Pieces:
@@ -68,15 +75,24 @@ class Pieces:
             h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return np.uint64(h)
 
+    @staticmethod
+    def _bit(hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * _SPREAD) >> np.uint64(44)).astype(np.int64)
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids by hash, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.ids[at], -1)
+        out = np.full(hashes.shape, -1, np.int64)
+        here = np.nonzero(self.maybe[self._bit(hashes)])
+        found = hashes[here]
+        at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+        out[here] = np.where(self.keys[at] == found, self.ids[at], -1)
+        return out
 
 
 class Codec:
     def __init__(self, pieces: Pieces):
-        self.pieces, self.known = pieces, {}
+        #: Ids of words by Viterbi, and by merging.
+        self.pieces, self.known, self.merged = pieces, {}, {}
 
     # words
 
@@ -89,7 +105,7 @@ class Codec:
             return [self.pieces.unknown]
         return [self.pieces.bytes[b] for b in chr(point).encode("utf-8", "replace")]
 
-    def _viterbi(self, points: np.ndarray) -> list[list[int]]:
+    def _viterbi(self, points: np.ndarray) -> list[np.ndarray]:
         """Best segmentations of equally long words (rows)."""
         p, (n, size) = self.pieces, points.shape
         prefix = np.zeros((n, size + 1), np.uint64)
@@ -110,13 +126,20 @@ class Codec:
             top = len(widths) - 1 - score[:, ::-1].argmax(1)
             rows = np.arange(n)
             best[:, end], back[:, end], chosen[:, end] = score[rows, top], widths[top], ids[rows, top]
-        out = []
-        for r in range(n):
-            end, ids = size, []
-            while end:
-                ids.append(self._spelled(int(points[r, end - 1]))[::-1] if chosen[r, end] < 0 else [int(chosen[r, end])])
-                end -= int(back[r, end])
-            out.append([i for part in ids[::-1] for i in (part if len(part) == 1 else part[::-1])])
+        # all words walk back together
+        end, live, steps = np.full(n, size), np.arange(n), []
+        while len(live):
+            steps.append((live, chosen[live, end[live]], end[live]))
+            end[live] -= back[live, end[live]]
+            live = live[end[live] > 0]
+        rows, ids, places = (np.concatenate([x[k] for x in reversed(steps)]) for k in range(3))
+        order = np.argsort(rows, kind="stable")
+        ids, places = ids[order].astype(np.int32), places[order]
+        ends = np.cumsum(np.bincount(rows, minlength=n))
+        out = _runs(ids, ends)
+        for r in set(np.searchsorted(ends, np.flatnonzero(ids < 0), "right").tolist()):
+            stop = places[ends[r] - len(out[r]) : ends[r]].tolist()
+            out[r] = np.array([i for x, e in zip(out[r].tolist(), stop, strict=True) for i in ([x] if x >= 0 else self._spelled(int(points[r, e - 1])))], np.int32)
         return out
 
     def _merge(self, points: np.ndarray) -> list[np.ndarray]:
@@ -159,53 +182,129 @@ class Codec:
         left = np.arange(size) < sizes[:, None]
         found = p.find(hashes[left])
         ends = np.cumsum(sizes)
-        out = np.split(found.astype(np.int32), ends[:-1])
+        out = _runs(found.astype(np.int32), ends)
         for r in set(np.searchsorted(ends, np.flatnonzero(found < 0), "right").tolist()):
             out[r] = np.array([i for c, x in enumerate(out[r].tolist()) for i in ([x] if x >= 0 else self._spelled(int(points[r, starts[r, c]])))], np.int32)
         return out
 
-    def words(self, words: list[str]) -> None:
+    def _matches(self, points: np.ndarray) -> list[list[tuple[int, int]]]:
+        """For each place of a long word the pieces that end there: (length, id)."""
+        p, n = self.pieces, len(points)
+        out: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        h, single = np.zeros(n, np.uint64), points.astype(np.uint64) + np.uint64(1)
+        for width in range(1, min(n, p.longest) + 1):
+            h = h[: n - width + 1] * _BASE + single[width - 1 :]
+            ids = p.find(h)
+            starts = np.flatnonzero(ids >= 0)
+            for start, i in zip(starts.tolist(), ids[starts].tolist(), strict=True):
+                out[start + width].append((width, i))
+        return out
+
+    def _viterbi_long(self, points: np.ndarray) -> list[int]:
+        p, n = self.pieces, len(points)
+        scores, penalty = p.scores.tolist(), float(p.scores.min()) - 10.0
+        best, back = [0.0] * (n + 1), [(1, -1)] * (n + 1)
+        for end, found in enumerate(self._matches(points)[1:], 1):
+            top, chosen = best[end - 1] + penalty if not found or found[0][0] > 1 else -np.inf, (1, -1)
+            for width, i in found:
+                if (score := best[end - width] + scores[i]) >= top:
+                    top, chosen = score, (width, i)
+            best[end], back[end] = top, chosen
+        out, end = [], n
+        while end:
+            width, i = back[end]
+            out.append([i] if i >= 0 else self._spelled(int(points[end - 1])))
+            end -= width
+        return [i for part in reversed(out) for i in part]
+
+    def _merge_long(self, word: str) -> list[int]:
+        """BPE of one word with a heap of pairs, the best first, the leftmost of equal ones."""
+        p, n = self.pieces, len(word)
+        if self._by_text is None:
+            self._by_text = {p.text[i]: (float(p.scores[i]), int(i)) for i in p.ids.tolist()}
+        rank, end, before = self._by_text, list(range(1, n + 1)), list(range(-1, n - 1))
+        live, heap = [True] * n, []
+
+        def push(left: int) -> None:
+            right = end[left]
+            if left >= 0 and right < n and (found := rank.get(word[left : end[right]])):
+                heapq.heappush(heap, (-found[0], left, end[right]))
+
+        for i in range(n - 1):
+            push(i)
+        while heap:
+            _, left, stop = heapq.heappop(heap)
+            right = end[left]
+            if not live[left] or right >= n or end[right] != stop:
+                continue
+            live[right], end[left] = False, stop
+            if stop < n:
+                before[stop] = left
+            push(left)
+            if before[left] >= 0:
+                push(before[left])
+        out = []
+        at = 0
+        while at < n:
+            found = rank.get(word[at : end[at]])
+            out += [found[1]] if found else self._spelled(ord(word[at]))
+            at = end[at]
+        return out
+
+    _by_text = None
+
+    def words(self, words: list[str], merging: bool) -> None:
         """Encode words that are not known yet, group by group."""
-        groups: dict[int, list[str]] = {}
+        known, groups = self.merged if merging else self.known, {}
         for w in words:
-            if w not in self.known:
+            if w not in known:
                 groups.setdefault(len(w), []).append(w)
         for size, group in groups.items():
-            step = max(1, 2_000_000 // (size * size if not self.pieces.bpe else size * 16))
+            if size > _LONG:
+                for w in group:
+                    known[w] = np.array(self._merge_long(w) if merging else self._viterbi_long(_points([w])[0]), np.int32)
+                continue
+            step = max(1, 2_000_000 // (size * 16))
             for a in range(0, len(group), step):
                 part = group[a : a + step]
-                points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), size)
-                for w, ids in zip(part, self._merge(points) if self.pieces.bpe else self._viterbi(points), strict=True):
-                    self.known[w] = np.asarray(ids, np.int32)
+                known.update(zip(part, (self._merge if merging else self._viterbi)(_points(part)), strict=True))
 
     # texts
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and each text's offsets. Words begin at a blank that follows another character."""
+    def split(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct words, each place's word, and where each text's places begin. Words begin at a blank that follows another character."""
         plain = as_string(texts)
         if self.pieces.normalize:
             plain = pa.array([self.pieces.normalize(t) for t in plain.to_pylist()], pa.large_string())
         shown = pc.replace_substring(plain, " ", BLANK)
         if self.pieces.prefix:
             shown = pc.if_else(pc.equal(plain, ""), "", pc.binary_join_element_wise(pa.scalar(BLANK, pa.large_string()), shown, pa.scalar("", pa.large_string())))
-        # no piece has a blank after another character, so words can be cut there
-        mark = next(m for m in map(chr, range(0xFDD0, 0xFDF0)) if not pc.any(pc.match_substring(shown, m)).as_py())
-        lists = pc.split_pattern(pc.replace_substring_regex(shown, f"([^{BLANK}])({BLANK})", f"\\1{mark}\\2"), mark)
-        words, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        # no piece has a blank after another character, so words can be cut there; a blank is three bytes
+        ends = np.frombuffer(shown.buffers()[1], np.int64)[shown.offset : shown.offset + len(shown) + 1]
+        raw = np.frombuffer(shown.buffers()[2], np.uint8)[: ends[-1]] if len(shown) and ends[-1] else np.empty(0, np.uint8)
+        blank = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81)) if len(raw) > 2 else np.empty(0, np.int64)
+        cuts = np.union1d(ends, blank[~np.isin(blank - 3, blank)])
+        words = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), shown.buffers()[2]) if len(cuts) > 1 else pa.array([], pa.large_string())
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + sum(w not in self.known for w in distinct) > _KNOWN_WORDS:
-            self.known.clear()
-        self.known[""] = np.empty(0, np.int32)
-        self.words(distinct)
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
+
+    def ids_of(self, distinct: list[str], codes: np.ndarray, offsets: np.ndarray, merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and each text's offsets, for what ``split`` gives."""
+        known = self.merged if merging else self.known
+        if len(known) + sum(w not in known for w in distinct) > _KNOWN_WORDS:
+            known.clear()
+        self.words(distinct, merging)
         if not distinct:
             return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
-        each = [self.known[w] for w in distinct]
+        each = [known[w] for w in distinct]
         sizes = np.fromiter(map(len, each), np.int64, len(each))
-        starts, codes = np.concatenate([[0], np.cumsum(sizes)]), coded.indices.to_numpy()
+        starts = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.concatenate([[0], np.cumsum(sizes[codes])])
         ids = np.concatenate(each)[np.repeat(starts[:-1][codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])]
-        return ids, ends[offsets - offsets[0]]
+        return ids, ends[offsets]
+
+    def encode(self, texts: pa.Array, merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids_of(*self.split(texts), merging)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of ids; bytes that are no UTF-8 become replacement characters."""
@@ -221,6 +320,16 @@ class Codec:
         return [t[1:] if p.prefix and t.startswith(" ") else t for t in out]
 
 
+def _runs(ids: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    ends = ends.tolist()
+    return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _points(words: list[str]) -> np.ndarray:
+    """Code points of equally long words, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+
+
 ENCODED = "doc_id bigint, ids array<int>"
 _codecs: dict[str, Codec] = {}
 
@@ -231,11 +340,11 @@ def _codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def _encode(path: str):
+def _encode(path: str, merging: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
         for part in text_slices(batches):
-            ids, offsets = codec.encode(part.column("text"))
+            ids, offsets = codec.encode(part.column("text"), merging)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
 
     return run
@@ -255,14 +364,16 @@ def _decode(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, merging: bool = False) -> DataFrame:
     """doc_id and ids of every text of ``docs`` (doc_id, text), by the model in the file ``path``.
 
+    The ids are those of the segmentation whose pieces' scores have the largest sum, of equal ones that with the longest last
+    piece; with ``merging`` those that a BPE model's merges give, as the library does.
     A null or empty text has no ids. Texts are never cut. Characters without a piece are spelled as bytes where the model has
     them, else they are unknown. Repeated rows have repeated results, an empty table has none.
     """
     bounded_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_encode(path), ENCODED)
+    return docs.select("doc_id", "text").mapInArrow(_encode(path, merging), ENCODED)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -273,21 +384,42 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 def _round_trip(path: str):
     import zlib
 
+    def checksums(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        raw = memoryview(ids.astype("<u4").view(np.uint8))
+        return pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
         for part in text_slices(batches):
-            ids, offsets = codec.encode(part.column("text"))
+            words = codec.split(part.column("text"))
+            ids, offsets = codec.ids_of(*words)
             back = codec.decode(ids, offsets)
             same = [a == b for a, b in zip(as_string(part.column("text")).to_pylist(), back, strict=True)]
-            raw = memoryview(ids.astype("<u4").view(np.uint8))
-            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(crc, pa.int64()), pa.array(same), lists], ["doc_id", "n_ids", "ids_crc32", "round_trip", "ids"])
+            merged, ends = codec.ids_of(*words, merging=True)
+            agree = np.array([np.array_equal(codec.known[w], codec.merged[w]) for w in words[0]], np.int64)
+            agreed = np.concatenate([[0], np.cumsum(agree[words[1]])]) if len(agree) else np.zeros(1, np.int64)
+            columns = {
+                "doc_id": part.column("doc_id"),
+                "n_ids": pa.array(np.diff(offsets)),
+                "ids_crc32": checksums(ids, offsets),
+                "round_trip": pa.array(same),
+                "n_words": pa.array(np.diff(words[2])),
+                "n_agree": pa.array(np.diff(agreed[words[2]])),
+                "n_merged": pa.array(np.diff(ends)),
+                "merged_crc32": checksums(merged, ends),
+                "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_ids, ids_crc32, whether decoding gives the text again, and the ids."""
+    """What ``encode`` gives, whether decoding gives the text again, and how it stands to merging.
+
+    doc_id, n_ids, ids_crc32 and ids are by Viterbi; n_merged and merged_crc32 by merging; n_words counts the words, n_agree
+    those on which both agree. A null text counts as empty.
+    """
     bounded_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_round_trip(path), "doc_id bigint, n_ids bigint, ids_crc32 bigint, round_trip boolean, ids array<int>")
+    schema = "doc_id bigint, n_ids bigint, ids_crc32 bigint, round_trip boolean, n_words bigint, n_agree bigint, n_merged bigint, merged_crc32 bigint, ids array<int>"
+    return docs.select("doc_id", "text").mapInArrow(_round_trip(path), schema)
