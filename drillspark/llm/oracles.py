@@ -21,13 +21,13 @@ counted AS (
   SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
-         len(lines) AS n_lines, len(list_distinct(list_intersect(words, {_STOPS}))) AS n_stops,
+         len(lines) AS n_lines, len(list_filter(words, lambda w: list_contains({_STOPS}, w))) AS n_stops,
          len(regexp_extract_all(text, '!!')) AS n_shouts
   FROM split LEFT JOIN repeats USING (row_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND n_words BETWEEN 50 AND 1000000
-       AND word_chars / n_words BETWEEN 2 AND 12 AND n_symbols / n_words <= 0.20 AND n_stops / least(n_words, 100) >= 0.02
+       AND word_chars / n_words BETWEEN 2 AND 12 AND n_symbols / n_words <= 0.20 AND n_stops / n_words >= 0.02
        AND coalesce(n_dup_lines / nullif(n_lines, 0), 0) <= 0.30 AND n_shouts / n_words <= 0.50 AND n_repeat_words / n_words <= 0.50 AS kept
 FROM judged
 """
