@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, shuffle_partitions, spread_lookup, store
+from .common import HOT_SHARE, deal_lookup, fresh_path, shuffle_partitions, spread_lookup, store
 
 
 @dataclass(frozen=True)
@@ -79,12 +79,19 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 class SecretLedger:
-    """A table of (blob, rule version, findings) in ``path``; it can be opened again by any later session."""
+    """Two tables under ``path`` that any later session can open again.
+
+    ``findings`` has a row for each blob and rule version that has been scanned; ``versions`` says which blob a path (doc_id) had
+    in which ingested batch, so what an old version held can be joined back to all paths that ever had it.
+    """
 
     def __init__(self, spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES, buckets: int | None = None):
         self.spark, self.rules, self.version, self.buckets = spark, rules, rule_version(rules), buckets or shuffle_partitions(spark)
-        self.name = "secret_ledger_" + hashlib.md5(path.encode()).hexdigest()[:16]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (blob BINARY, rule_version STRING, found {SPAN.replace('array<struct<', 'ARRAY<STRUCT<')}) USING parquet CLUSTERED BY (blob) SORTED BY (blob) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        tag = hashlib.md5(path.encode()).hexdigest()[:16]
+        self.name, self.history_name = f"secret_ledger_{tag}", f"secret_versions_{tag}"
+        clustered = f"CLUSTERED BY (blob) SORTED BY (blob) INTO {self.buckets} BUCKETS"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (blob BINARY, rule_version STRING, found {SPAN.replace('array<struct<', 'ARRAY<STRUCT<')}) USING parquet {clustered} LOCATION '{path}/findings'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.history_name} (doc_id BIGINT, blob BINARY, batch BIGINT) USING parquet LOCATION '{path}/versions'")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name).where(F.col("rule_version") == self.version)
@@ -92,20 +99,40 @@ class SecretLedger:
     def ingest(self, docs: DataFrame) -> DataFrame:
         """Scan what the ledger lacks of ``docs`` (doc_id, text) and return a row for each: doc_id, blob, found (spans).
 
-        A null text is an empty one and holds nothing. Copies and repeated rows are scanned once. No documents give no rows.
+        A null text is an empty one and holds nothing. Copies and repeated rows are scanned once. No documents give no rows. The
+        call makes one batch of versions; it can be repeated after a failure, which makes another batch of the same blobs.
         """
         blob = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
         paths = store(docs.select("doc_id", blob.alias("blob")), "blob-paths")
-        blobs = store(paths.groupBy("blob").agg(F.min("doc_id").alias("_from"), F.count(F.lit(1)).alias("_paths")), "blobs")
-        unseen = blobs.join(self.table().select("blob").hint("merge"), "blob", "left_anti").select("blob", "_from")
-        # one row of each unseen blob goes to the scan; both columns are in the key, so copies do not meet in one task
-        texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), blob.alias("_blob"))
-        chosen = unseen.join(texts, (F.col("_blob") == F.col("blob")) & F.col("doc_id").eqNullSafe(F.col("_from"))).select("blob", "text")
-        once = scan(chosen, self.rules).groupBy("blob").agg(F.first("found").alias("found"))
+        batch = self.spark.table(self.history_name).agg(F.coalesce(F.max("batch"), F.lit(0)) + 1).first()[0]
+        paths.distinct().select("doc_id", "blob", F.lit(batch).cast("long").alias("batch")).write.insertInto(self.history_name)
+        # rows without doc_id count as 0 here: they only have to be told from others with another blob
+        own = F.coalesce("doc_id", F.lit(0))
+        blobs = store(paths.groupBy("blob").agg(F.min(own).alias("_from"), F.count(F.lit(1)).alias("_paths")), "blobs")
+        total = paths.count()
+        unseen = blobs.join(self.table().select("blob").hint("merge"), "blob", "left_anti")
+        hot = [r[0] for r in unseen.where(F.col("_paths") * HOT_SHARE >= F.lit(total)).select("blob").collect()]
+        texts = docs.select(own.alias("_own"), F.coalesce("text", F.lit("")).alias("text"), blob.alias("_blob"))
+        # one row of each unseen blob goes to the scan. Blobs of many rows are reduced task by task before a text is shuffled;
+        # of others one doc_id's rows are met, and both columns are in the key, so copies do not meet in one task
+        rare = unseen.where(~F.col("blob").isin(hot)) if hot else unseen
+        chosen = rare.join(texts, (F.col("_blob") == F.col("blob")) & (F.col("_own") == F.col("_from"))).groupBy("blob", "_from").agg(F.first("text").alias("text")).select("blob", "text")
+        if hot:
+            chosen = chosen.union(texts.where(F.col("_blob").isin(hot)).groupBy("_blob").agg(F.first("text").alias("text")))
+        once = scan(chosen, self.rules)
         once.select("blob", F.lit(self.version).alias("rule_version"), "found").repartition(self.buckets, "blob").write.insertInto(self.name)
-        self.spark.catalog.refreshTable(self.name)
+        for name in (self.name, self.history_name):
+            self.spark.catalog.refreshTable(name)
         findings = blobs.select("blob", "_paths").join(self.table().select("blob", "found").hint("merge"), "blob")
-        return spread_lookup(paths, findings, "blob", "_paths", paths.count(), F.col("doc_id"), weights=blobs).drop("_paths")
+        return spread_lookup(paths, findings, "blob", "_paths", total, F.col("doc_id"), weights=blobs).drop("_paths")
+
+    def history(self) -> DataFrame:
+        """Every version of every path that has been ingested, with its findings by this rule version: doc_id, batch, blob, found.
+
+        ``found`` is null where a version has not been scanned by these rules.
+        """
+        versions = self.spark.table(self.history_name)
+        return deal_lookup(versions, self.table().select("blob", "found"), "blob", F.xxhash64("doc_id", "batch"), versions, "left").select("doc_id", "batch", "blob", "found")
 
 
 def secret_spans(docs: DataFrame, path: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
