@@ -44,16 +44,24 @@ def boilerplate_lines(docs: DataFrame, cfg: Boilerplate = Boilerplate()) -> Data
     return often.groupBy("host").agg(F.collect_list("key").alias("lines"), F.first("pages").alias("pages"))
 
 
-def line_dedup(docs: DataFrame, cfg: Boilerplate = Boilerplate(), host: str = "source") -> DataFrame:
-    """``docs`` with boilerplate lines left out of ``text``, and two more columns, _n_lines and _n_dropped.
+def url_host(url: Column) -> Column:
+    """The host of a URL in lower case, without user and port; null where there is none."""
+    found = F.regexp_extract(F.lower(url), r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.when(found != "", found)
 
-    Lines are cut at \\n and compared without white space around them; blank lines are never dropped. Rows without a host form
+
+def line_dedup(docs: DataFrame, cfg: Boilerplate = Boilerplate(), host: str | Column = "source", counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """``docs`` with boilerplate lines left out of ``text``, and two more columns named by ``counts``: lines, and lines dropped.
+
+    ``host`` is a column or an expression such as ``url_host(F.col("url"))``. A column of ``docs`` that is named like one of
+    ``counts`` gives way to it. Lines are cut at \\n and compared without white space around them; blank lines are never dropped. Rows without a host form
     one host. A null text stays null and counts as a page. Each row is a page, repeated rows too. Text without boilerplate is
     unchanged. If nothing is left, the text is empty. No documents give no rows.
     """
     others = [c for c in docs.columns if c != "text"]
     # the document's own columns travel in a struct, so none can clash with a name used here
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), F.col("text").alias("body"), F.coalesce(F.col(host), F.lit("")).alias("site"))
+    host = F.col(host) if isinstance(host, str) else host
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), F.col("text").alias("body"), F.coalesce(host, F.lit("")).alias("site"))
     found = store(boilerplate_lines(rows.select(F.col("site").alias("host"), F.col("body").alias("text")), cfg), "boilerplate")
     size = found.agg(F.coalesce(F.sum(F.size("lines") * 48 + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
@@ -72,4 +80,4 @@ def line_dedup(docs: DataFrame, cfg: Boilerplate = Boilerplate(), host: str = "s
     out = marked.withColumn("kept", F.when(hit, F.filter(_lines(text), lambda line: ~F.array_contains(F.col("here"), _key(line)))))
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(_lines(text)))
     clean = F.when(hit, F.array_join("kept", "\n")).otherwise(text)
-    return out.select(*[clean.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns], n_lines.cast("long").alias("_n_lines"), F.when(hit, n_lines - F.size("kept")).otherwise(0).cast("long").alias("_n_dropped"))
+    return out.select(*[clean.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns if c not in counts], n_lines.cast("long").alias(counts[0]), F.when(hit, n_lines - F.size("kept")).otherwise(0).cast("long").alias(counts[1]))
