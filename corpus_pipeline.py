@@ -18,15 +18,16 @@ from drillspark.llm.secrets import redact
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not rejected; ``lang`` is the identified one."""
+    """Documents whose language is not rejected; ``lang`` is the identified one. Null texts and those without a letter go."""
     return known_language(docs)
 
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; n_chars follows. None is dropped."""
-    out = line_dedup(docs)
+    """Documents without the boilerplate lines of their source; n_chars follows. None is dropped, null texts stay null."""
+    names = tuple(next(n for n in (f"{'_' * k}n_{what}" for k in range(1, 99)) if n not in docs.columns) for what in ("lines", "dropped"))
+    out = line_dedup(docs, counts=names)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(names[1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
@@ -38,18 +39,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with secrets replaced by a mark. None is dropped."""
+    """Documents with secrets replaced by a mark; n_chars follows. None is dropped, null texts stay null, repeated rows stay repeated."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 4096 tokens."""
+    """Pieces of the documents and their places in sequences of 4096 tokens. A null or empty text is one piece of one token."""
     return pack(docs, Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [("language_id", language_id), ("line_dedup", boilerplate), ("near_dedup", near_duplicates), ("secret_scans", secrets), ("best_fit_packing", packing)]
 
-#: Language models, Jaccard components and packing have no SQL; the stages are tested against brute force and by their operators' SQL.
+#: Language models, Jaccard components and packing have no SQL; tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
