@@ -288,23 +288,26 @@ class Codec:
         coded = words.dictionary_encode()
         return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
 
-    def ids_of(self, distinct: list[str], codes: np.ndarray, offsets: np.ndarray, merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and each text's offsets, for what ``split`` gives."""
+    def coded(self, distinct: list[str], merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words end to end, and where each one's begin (and the last one's end)."""
         known = self.merged if merging else self.known
-        if len(known) + sum(w not in known for w in distinct) > _KNOWN_WORDS:
+        if len(known) + len(distinct) > _KNOWN_WORDS:
             known.clear()
         self.words(distinct, merging)
-        if not distinct:
-            return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
         each = [known[w] for w in distinct]
         sizes = np.fromiter(map(len, each), np.int64, len(each))
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
-        ids = np.concatenate(each)[np.repeat(starts[:-1][codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])]
-        return ids, ends[offsets]
+        return (np.concatenate(each) if each else np.empty(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])
+
+    @staticmethod
+    def laid_out(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and each text's offsets: the words ``codes``, whose ids ``coded`` gives."""
+        sizes = np.diff(starts)[codes]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return flat[np.repeat(starts[:-1][codes] - ends[:-1], sizes) + np.arange(ends[-1])], ends[offsets]
 
     def encode(self, texts: pa.Array, merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        return self.ids_of(*self.split(texts), merging)
+        distinct, codes, offsets = self.split(texts)
+        return self.laid_out(*self.coded(distinct, merging), codes, offsets)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of ids; bytes that are no UTF-8 become replacement characters."""
@@ -381,6 +384,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decode(path), "doc_id bigint, text string")
 
 
+def _agree(a: np.ndarray, starts: np.ndarray, b: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each run of ids whether it is the same in both, as 0 or 1."""
+    sizes = np.diff(starts)
+    same = (sizes == np.diff(others)).astype(np.int64)
+    rows = np.flatnonzero(same & (sizes > 0))
+    if len(rows):
+        ends = np.cumsum(sizes[rows])
+        first = np.repeat(starts[rows] - (ends - sizes[rows]), sizes[rows]) + np.arange(ends[-1])
+        second = np.repeat(others[rows] - (ends - sizes[rows]), sizes[rows]) + np.arange(ends[-1])
+        same[rows] = np.logical_and.reduceat(a[first] == b[second], ends - sizes[rows])
+    return same
+
+
 def _round_trip(path: str):
     import zlib
 
@@ -391,20 +407,20 @@ def _round_trip(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
         for part in text_slices(batches):
-            words = codec.split(part.column("text"))
-            ids, offsets = codec.ids_of(*words)
+            distinct, codes, starts = codec.split(part.column("text"))
+            by_score, by_merge = codec.coded(distinct), codec.coded(distinct, merging=True)
+            ids, offsets = codec.laid_out(*by_score, codes, starts)
             back = codec.decode(ids, offsets)
             same = [a == b for a, b in zip(as_string(part.column("text")).to_pylist(), back, strict=True)]
-            merged, ends = codec.ids_of(*words, merging=True)
-            agree = np.array([np.array_equal(codec.known[w], codec.merged[w]) for w in words[0]], np.int64)
-            agreed = np.concatenate([[0], np.cumsum(agree[words[1]])]) if len(agree) else np.zeros(1, np.int64)
+            merged, ends = codec.laid_out(*by_merge, codes, starts)
+            agreed = np.concatenate([[0], np.cumsum(_agree(*by_score, *by_merge)[codes])])
             columns = {
                 "doc_id": part.column("doc_id"),
                 "n_ids": pa.array(np.diff(offsets)),
                 "ids_crc32": checksums(ids, offsets),
                 "round_trip": pa.array(same),
-                "n_words": pa.array(np.diff(words[2])),
-                "n_agree": pa.array(np.diff(agreed[words[2]])),
+                "n_words": pa.array(np.diff(starts)),
+                "n_agree": pa.array(np.diff(agreed[starts])),
                 "n_merged": pa.array(np.diff(ends)),
                 "merged_crc32": checksums(merged, ends),
                 "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
