@@ -129,13 +129,13 @@ def small_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str,
     return left.join(F.broadcast(right) if rows * row_bytes <= limit else right, on, how)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut into slices with about SLICE_BYTES of text; one longer text is a slice of its own."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into slices with about ``most`` bytes of text; one longer text is a slice of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(sizes):
-            if held and held + n > SLICE_BYTES:
+            if held and held + n > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n
@@ -179,6 +179,16 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return distinct[coded.indices.to_numpy()]
 
 
+def wide_word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes for each word; every distinct word is hashed once."""
+    import xxhash
+
+    coded = words.dictionary_encode()
+    raw = b"".join(xxhash.xxh3_128_digest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist())
+    distinct, codes = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, 2), coded.indices.to_numpy()
+    return distinct[codes, 0], distinct[codes, 1]
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -36,7 +36,9 @@ class LanguageModel:
 
 ORDER = 4
 GRAMS = "lang string, gram bigint, n bigint"
-_BLOCK = 1 << 18
+_BLOCK = 1 << 16
+#: Bytes of text taken at once: a character takes some 40 bytes meanwhile.
+_SLICE = 1_000_000
 _letters: list[np.ndarray] = []
 
 
@@ -56,7 +58,7 @@ def coded_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(lower.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
     ids = np.where(points < 0x32400, _letter_ids()[np.minimum(points, 0x323FF)], 0).astype(np.uint16)
     ends = np.concatenate([[0], np.cumsum(pc.utf8_length(lower).to_numpy())]).astype(np.int64)
-    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    doc = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends))
     # a blank stays only after a letter of the same text
     keep = (ids > 0) | np.concatenate([[False], (ids[:-1] > 0) & (doc[1:] == doc[:-1])])[: len(ids)]
     letters = np.bincount(doc[ids > 0], minlength=len(ends) - 1)
@@ -64,7 +66,7 @@ def coded_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.bincount(doc, minlength=len(ends) - 1) + ORDER  # and a blank at the end
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     out = np.zeros(offsets[-1], np.uint16)
-    out[np.arange(len(ids)) + doc * ORDER + (ORDER - 1)] = ids
+    out[np.arange(len(ids)) + doc.astype(np.int64) * ORDER + (ORDER - 1)] = ids
     return out, offsets, letters
 
 
@@ -85,7 +87,7 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
-    for part in text_slices(batches):
+    for part in text_slices(batches, most=_SLICE):
         ids, offsets, _ = coded_texts(part.column("text"))
         langs = part.column("lang").to_pylist()
         for lang in set(langs):
@@ -177,7 +179,7 @@ class Shard:
         ids, offsets, letters = coded_texts(texts)
         n = len(offsets) - 1
         total = np.zeros((n, len(self.models)))
-        doc = np.repeat(np.arange(n), np.diff(offsets))
+        doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
         for a in range(0, len(ids), _BLOCK):
             # ORDER - 1 ids before the block give its first contexts
             block = ids[max(0, a - ORDER + 1) : a + _BLOCK]
@@ -327,7 +329,7 @@ def _sums(part: pa.RecordBatch, shared):
 
 def _through(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=_SLICE):
             total = _sums(part, shared)[0]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(total) + 1, dtype=np.int32) * total.shape[1]), pa.array(total.ravel()))
             yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("text"), lists], ["doc", "text", "sums"])
@@ -339,7 +341,7 @@ def _finish(shared, langs, bounds, evidence, keep: list[str] | None, schema):
     """With ``keep`` these columns and what was decided; else the documents themselves that are not rejected, in their schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=_SLICE):
             if shared is None:
                 _, offsets, letters = coded_texts(part.column("text"))
                 total, chars = np.zeros((part.num_rows, 0)), np.diff(offsets) - (ORDER - 1)
