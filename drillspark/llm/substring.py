@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, bounded_batches, drop_stored, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, word_hashes, words_of
+from .common import as_string, bounded_batches, drop_stored, gram_hashes, mix64, spread_lookup, store, text_slices, total_of, wide_word_hashes, words_of
 
 
 @dataclass(frozen=True)
@@ -27,9 +27,9 @@ class Phrases:
     anchor: int = 8  # words of an anchor; each window has one, its least by hash
 
 
-SCANNED = "doc_id bigint, row bigint, n_words bigint, kept_sha256 string, anchors array<struct<gram:bigint,passage:bigint,at:int>>"
-WINDOWS = "row bigint, window bigint, at int"
-REMOVED = "row bigint, n_removed bigint, kept_sha256 string"
+SCANNED = "doc_id bigint, row bigint, n_words bigint, kept_sha256 string, anchors array<struct<gram:bigint,passage:bigint,other:bigint,at:int>>"
+WINDOWS = "doc bigint, row bigint, window bigint, other bigint, at int"
+REMOVED = "doc bigint, row bigint, n_removed bigint, kept_sha256 string"
 
 
 def _places(hashes: np.ndarray, offsets: np.ndarray, cfg: Phrases):
@@ -72,12 +72,13 @@ def _scan(cfg: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             words, offsets = words_of(part.column("text"))
-            hashes = word_hashes(words)
-            at, lo, hi, doc, grams = _places(hashes, offsets, cfg)
+            both = wide_word_hashes(words)
+            at, lo, hi, doc, grams = _places(both[0], offsets, cfg)
             end = hi + cfg.words
             # a passage also says where its anchor stands in it and how many windows it has
-            passage = mix64(_spans_hash(hashes, lo, end) + mix64(((at - lo) * 64 + (hi - lo)).astype(np.uint64))) if len(at) else np.empty(0, np.uint64)
-            cells = pa.StructArray.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(passage.view(np.int64)), pa.array((at - offsets[doc]).astype(np.int32))], ["gram", "passage", "at"])
+            spot = mix64(((at - lo) * 64 + (hi - lo)).astype(np.uint64))
+            passage, other = ((mix64(_spans_hash(h, lo, end) + spot) if len(at) else np.empty(0, np.uint64)).view(np.int64) for h in both)
+            cells = pa.StructArray.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(passage), pa.array(other), pa.array((at - offsets[doc]).astype(np.int32))], ["gram", "passage", "other", "at"])
             starts = np.searchsorted(doc, np.arange(part.num_rows + 1))
             n = np.diff(offsets)
             joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words), pa.scalar(" ", words.type)).to_pylist()
@@ -93,8 +94,8 @@ def _marked_windows(cfg: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             words, offsets = words_of(part.column("text"))
-            hashes = word_hashes(words)
-            at, lo, hi, doc, _ = _places(hashes, offsets, cfg)
+            both = wide_word_hashes(words)
+            at, lo, hi, doc, _ = _places(both[0], offsets, cfg)
             lists = part.column("part")
             wanted = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)) << 32 | lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             chosen = np.flatnonzero(np.isin(doc << 32 | (at - offsets[doc]), wanted))
@@ -102,8 +103,10 @@ def _marked_windows(cfg: Phrases):
             counts = hi - lo + 1
             starts = np.repeat(lo, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             doc = np.repeat(doc, counts)
-            codes = gram_hashes(hashes, cfg.words)[starts] if len(starts) else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("row").take(pa.array(doc)), pa.array(codes.view(np.int64)), pa.array((starts - offsets[doc]).astype(np.int32))], ["row", "window", "at"])
+            window, other = ((gram_hashes(h, cfg.words)[starts] if len(starts) else np.empty(0, np.uint64)).view(np.int64) for h in both)
+            own = pa.array(doc)
+            columns = [part.column("doc").take(own), part.column("row").take(own), pa.array(window), pa.array(other), pa.array((starts - offsets[doc]).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "row", "window", "other", "at"])
 
     return run
 
@@ -121,8 +124,7 @@ def _locate(cfg: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             words, offsets = words_of(part.column("text"))
-            hashes = word_hashes(words)
-            at, lo, hi, doc, _ = _places(hashes, offsets, cfg)
+            at, lo, hi, doc, _ = _places(wide_word_hashes(words)[0], offsets, cfg)
             coded = words.dictionary_encode()
             codes, passages = coded.indices.to_numpy(), []
             full, single = part.column("full").to_pylist(), part.column("windows").to_pylist()
@@ -149,7 +151,7 @@ def _locate(cfg: Phrases):
                 gone = np.cumsum(edge[:-1]) > 0
                 removed.append(int(gone.sum()))
                 shas.append(hashlib.sha256(" ".join(texts[offsets[d] + i] for i in np.flatnonzero(~gone)).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(removed, pa.int64()), pa.array(shas)], ["row", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("row"), pa.array(removed, pa.int64()), pa.array(shas)], ["doc", "row", "n_removed", "kept_sha256"])
 
     return run
 
@@ -158,30 +160,33 @@ def substring_dedup(docs: DataFrame, cfg: Phrases = Phrases()) -> DataFrame:
     """Words of ``docs`` (doc_id, text) outside recurring passages: doc_id, n_words, n_removed, kept_sha256.
 
     A word goes if a window of ``words`` consecutive words over it occurs a second time, in any document. A null text has no
-    words. Repeated rows are occurrences of each other. Windows are counted by 64-bit hashes and located by their words. No
+    words. Repeated rows are occurrences of each other. Windows are counted by 128-bit hashes and located by their words. No
     documents give no rows.
     """
     bounded_batches(docs.sparkSession)
-    # rows are told apart by doc_id and text, so repeated rows have repeated results and tasks can run again
-    row = F.xxhash64("doc_id", "text").alias("row")
+    # rows are told apart by doc_id and a hash of both columns, so repeated rows have repeated results and tasks can run again
+    row, key = F.xxhash64("doc_id", "text").alias("row"), ["doc", "row"]
+    own = F.coalesce("doc_id", F.lit(0)).alias("doc")
     texts = docs.select("doc_id", row, F.coalesce("text", F.lit("")).alias("text"))
     scanned = store(texts.mapInArrow(_scan(cfg), SCANNED), "scanned")
-    anchors = scanned.select("row", F.inline("anchors"))
-    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("passage") == F.max("passage")).alias("alike")).where("n > 1")
+    anchors = scanned.select(own, "row", F.inline("anchors"))
+    passage = F.struct("passage", "other")
+    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min(passage) == F.max(passage)).alias("alike")).where("n > 1")
     grams = store(grams, "grams")
-    marked = spread_lookup(anchors.select("row", "gram", "at"), grams, "gram", "n", total_of(grams, "n"), F.xxhash64("row", "at"))
-    marks = marked.groupBy("row").agg(F.collect_set(F.when(F.col("alike"), F.col("at"))).alias("full"), F.collect_set(F.when(~F.col("alike"), F.col("at"))).alias("part"))
+    marked = spread_lookup(anchors.select(*key, "gram", "at"), grams, "gram", "n", total_of(grams, "n"), F.xxhash64("row", "at"))
+    marks = marked.groupBy(*key).agg(F.collect_set(F.when(F.col("alike"), F.col("at"))).alias("full"), F.collect_set(F.when(~F.col("alike"), F.col("at"))).alias("part"))
     # repeated rows stand for themselves in the counts above; one of each is enough from here on
-    held = store(texts.select("row", "text").join(marks, "row").dropDuplicates(["row"]), "held-texts")
-    times = scanned.groupBy("row").agg(F.count(F.lit(1)).alias("times"))
-    windows = store(held.where(F.size("part") > 0).select("row", "text", "part").mapInArrow(_marked_windows(cfg), WINDOWS), "windows")
-    counted = windows.join(times, "row").groupBy("window").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).where("n > 1")
-    counted = store(counted, "recurring")
-    found = spread_lookup(windows, counted, "window", "rows", total_of(counted, "rows"), F.xxhash64("row", "at"))
-    single = found.groupBy("row").agg(F.collect_set("at").alias("windows"))
-    shards = held.select("row", "text", "full").join(single, "row", "left")
+    held = store(texts.select(own, "row", "text").join(marks, key).dropDuplicates(key), "held-texts")
+    times = scanned.groupBy(own, "row").agg(F.count(F.lit(1)).alias("times"))
+    windows = store(held.where(F.size("part") > 0).select(*key, "text", "part").mapInArrow(_marked_windows(cfg), WINDOWS), "windows")
+    counted = windows.join(times, key).groupBy("window", "other").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).where("n > 1")
+    counted = store(counted.select("window", F.col("other").alias("_other"), "rows"), "recurring")
+    # the second hash is compared by the join's side, so its key is one column
+    found = spread_lookup(windows, counted, "window", "rows", total_of(counted, "rows"), F.xxhash64("row", "at")).where(F.col("other") == F.col("_other"))
+    single = found.groupBy(*key).agg(F.collect_set("at").alias("windows"))
+    shards = held.select(*key, "text", "full").join(single, key, "left")
     removed = store(shards.mapInArrow(_locate(cfg), REMOVED), "removed")
-    out = scanned.select("doc_id", "row", "n_words", F.col("kept_sha256").alias("_all")).join(removed, "row", "left")
+    out = scanned.select("doc_id", own, "row", "n_words", F.col("kept_sha256").alias("_all")).join(removed, key, "left")
     out = out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "_all").alias("kept_sha256"))
     drop_stored(grams, held, windows, counted)
     return out
