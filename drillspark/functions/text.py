@@ -71,18 +71,33 @@ def is_total_row(line: Column) -> Column:
     return bare.rlike(r"(?iU)(合计|总计|小计|total|sum)\b") & (bare.rlike("(?i)(必须|must|constraint|等于)") | (F.length(rest) <= 6))
 
 
+# What decorates a title.
 _PAREN = r"[（(\[][^）)\]]{0,40}[）)\]]"
 _DECOR = r"(?iU)(?:\d+|[一二三四五六七八九十]+|\b(?:hours?|hrs?|min|s|m|ft|in|mm|cm|psi|ppg|ml|ph|l/s|gpm|md|tvd|npt)\b|小时|次日|按时间顺序|续)"
 _EDGE = r"[\s　|、,，：:()（）\[\]【】·.\-—/]+"
 
 
-def strip_decor(text: Column, passes: int = 4) -> Column:
-    """FLT6: ordinals, brackets, units and separators taken off until nothing changes; titles are at most 40 characters, so few passes do."""
-    for _ in range(passes):
-        text = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _PAREN, " "), _DECOR, ""), _EDGE, "")
+def _bare_once(text: Column) -> Column:
+    for pattern, by in ((_PAREN, " "), (_DECOR, ""), (_EDGE, "")):
+        text = F.regexp_replace(text, pattern, by)
     return text
 
 
+def strip_decor(text: Column) -> Column:
+    """FLT6: ordinals, brackets, units and separators taken off until nothing changes.
+
+    A pass that changes anything shortens the text, so as many passes as the text has characters are enough; a text that is done
+    is passed on as it is.
+    """
+    state = F.struct(text.alias("now"), F.lit(False).alias("done"))
+
+    def step(acc: Column, _: Column) -> Column:
+        new = _bare_once(acc["now"])
+        return F.when(acc["done"], acc).otherwise(F.struct(new.alias("now"), (new == acc["now"]).alias("done")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.length(text)), state, step, lambda acc: acc["now"])
+
+
 def clean(text: Column) -> Column:
     """SC40."""
     return F.nullif(F.btrim(F.regexp_replace(text, r"(?U)\s+", " "), F.lit(" 　:：")), F.lit(""))

@@ -61,12 +61,27 @@ def span(start: Column, end: Column) -> Column:
     return F.when(end >= start, end - start).otherwise(24 - start)
 
 
+#: The shape that a text must have for a format to be tried; a miss of a parser is dear, a miss of an expression is not.
+_SHAPES = {
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyy.M.d": r"^\d{4}\.\d{1,2}\.\d{1,2}$",
+    "yyyy年M月d日": r"^\d{4}年\d{1,2}月\d{1,2}日$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3,4}-\d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3,4} \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3,4} \d{1,2}, \d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+}
+
+
 def parse_date(text: Column) -> Column:
     """SC28."""
     bare = F.trim(text)
     shape = r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
     found = F.try_to_date(F.concat_ws("-", *[F.regexp_extract(bare, shape, i) for i in (1, 2, 3)]), "yyyy-M-d")
-    return F.coalesce(*[F.try_to_date(bare, f) for f in DATE_FORMATS], F.when(bare.rlike(shape), found))
+    return F.coalesce(*[F.when(bare.rlike(_SHAPES[f]), F.try_to_date(bare, f)) for f in DATE_FORMATS], F.when(bare.rlike(shape), found))
 
 
 def iso(day: Column, clock: Column, zone: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,11 @@ def exact_code(text: Column, operations: tuple[Operation, ...] = OPERATIONS) ->
 
 
 def normalize_code(text: Column, operations: tuple[Operation, ...] = OPERATIONS, word_boundary: bool = False) -> Column:
-    """JN3: the operation code of a text, by seven tiers: empty, waiting, severe events, activity numbers, exact, longest alias, bracketed."""
-    norm = F.lower(F.trim(fold_wide(text)))
+    """JN3: the operation code of a text, by seven tiers: empty, waiting, severe events, activity numbers, exact, longest alias, bracketed.
+
+    Runs of blanks are one, and marks around the text do not count. Texts that hold no alias at all skip the search for one.
+    """
+    norm = F.btrim(F.trim(F.regexp_replace(F.lower(fold_wide(text)), r"(?U)\s+", " ")), F.lit(" .;:、，。"))
     severe = [F.when(norm.rlike("(?U)" + p) & ~F.regexp_extract(norm, f"(?sU)^(.*?)(?:{p})", 1).rlike(dims.NEGATED), code) for p, code in dims.SEVERE]
     number = F.when(norm.rlike(r"^\d{1,2}$"), F.try_element_at(literal_map(dims.ACTIVITY_CODES), norm.try_cast("int")))
     aliases = [(a, o.code) for o in operations for a in o.aliases]
@@ -58,7 +63,7 @@ def normalize_code(text: Column, operations: tuple[Operation, ...] = OPERATIONS,
         *severe,
         number,
         exact_code(norm, operations),
-        longest_keyword(norm, aliases, dims.NEGATED, word_boundary),
+        F.when(norm.rlike("|".join(sorted({re.escape(a.lower()) for a, _ in aliases}))), longest_keyword(norm, aliases, dims.NEGATED, word_boundary)),
         F.try_element_at(F.array_compact(inner), F.lit(1)),
         F.lit("UNKNOWN"),
     )

@@ -44,21 +44,28 @@ def name_findings(values: DataFrame, allow: DataFrame) -> DataFrame:
 def mentions(texts: DataFrame, allow: DataFrame) -> DataFrame:
     """PV2, JN22: every suffix of an organisation in texts (location, text) with up to 12 characters before it; known, redacted and public names are exempt.
 
-    Places are found by laying what stands between matches end to end, so mentions that overlap are all seen.
+    Places are found by laying what stands between matches end to end, so mentions that overlap are all seen. A known name that
+    covers a candidate is one of its long substrings, so names meet the list by equality and no list is broadcast unchecked.
     """
     found = F.regexp_extract_all("text", F.lit(SUFFIX), F.lit(1))
     between = F.split("text", SUFFIX, -1)
 
     def step(acc, x):
-        before = F.concat(acc["seen"], x["between"])
-        return F.when(x["suffix"].isNull(), acc).otherwise(F.struct(F.concat(before, x["suffix"]).alias("seen"), F.concat(acc["out"], F.array(F.struct(F.concat(F.right(before, F.lit(LOOK_BACK)), x["suffix"]).alias("candidate"), x["suffix"].alias("suffix")))).alias("out")))
+        # no more than the look-back is kept of what has been passed
+        before = F.right(F.concat(acc["seen"], x["between"]), F.lit(LOOK_BACK))
+        candidate = F.struct(F.concat(before, x["suffix"]).alias("candidate"), x["suffix"].alias("suffix"))
+        passed = F.struct(F.right(F.concat(before, x["suffix"]), F.lit(LOOK_BACK)).alias("seen"), F.concat(acc["out"], F.array(candidate)).alias("out"))
+        return F.when(x["suffix"].isNull(), acc).otherwise(passed)
 
     start = F.struct(F.lit("").alias("seen"), F.array().cast("array<struct<candidate:string,suffix:string>>").alias("out"))
     rows = texts.where(F.col("text").rlike(SUFFIX)).select("location", F.inline(F.aggregate(F.arrays_zip(found.alias("suffix"), between.alias("between")), start, step, lambda a: a["out"])))
     rows = rows.withColumn("name", norm_name(F.col("candidate"))).where(~exempt(F.col("candidate")))
-    orgs = allow.where("kind = 'org'").select(F.col("name").alias("known"))
-    inside = F.contains("name", F.col("known")) & (F.length("known") >= 0.8 * F.length("name"))
-    open_ = rows.join(orgs, inside, "left_anti")
+    orgs = allow.where("kind = 'org'").select(F.col("name").alias("known")).distinct()
+    n = F.length("name")
+    widths = F.sequence(F.ceil(n * 0.8).cast("int"), n)
+    parts = F.flatten(F.transform(widths, lambda w: F.transform(F.sequence(F.lit(1), n - w + 1), lambda i: F.substring(F.col("name"), i, w))))
+    known = rows.where(n > 0).select("name").distinct().select("name", F.explode(F.array_distinct(parts)).alias("known")).join(orgs, "known", "left_semi").select("name").distinct()
+    open_ = rows.join(known, "name", "left_anti")
     return open_.select(F.lit("warning").alias("severity"), "location", F.concat(F.lit("text has the shape of an organisation: "), F.col("suffix")).alias("message"), F.concat(F.lit("…"), F.col("candidate")).alias("evidence"))
 
 

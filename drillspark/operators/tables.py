@@ -130,22 +130,22 @@ def rejected_rows(cells: DataFrame) -> DataFrame:
     return no_hours.unionByName(mud.select("doc_id", F.lit("mud").alias("stage"), F.concat(F.lit("no sample point: "), F.array_join("cells", " | ")).alias("reason")))
 
 
-def _units_of(template: Column, key: str, override: bool = False) -> Column:
-    pairs = {t.template_id: (t.overrides if override else t.units).get(key) for t in dims.TEMPLATES}
+def _units_of(template: Column, key: str, override: bool = False, templates: tuple[dims.Template, ...] = dims.TEMPLATES) -> Column:
+    pairs = {t.template_id: (t.overrides if override else t.units).get(key) for t in templates}
     pairs = {k: v for k, v in pairs.items() if v}
     return F.try_element_at(literal_map(pairs), template) if pairs else F.lit(None).cast("string")
 
 
-def _number(field: str, kind: str, key: str, label: Column | None = None) -> Column:
+def _number(field: str, kind: str, key: str, templates: tuple[dims.Template, ...]) -> Column:
     t = F.col("template_id")
-    return U.resolve_number(_cell(field), kind, _label(field) if label is None else label, _units_of(t, key), _units_of(t, key, True))
+    return U.resolve_number(_cell(field), kind, _label(field), _units_of(t, key, templates=templates), _units_of(t, key, True, templates))
 
 
-def bits(cells: DataFrame, detected: DataFrame) -> DataFrame:
+def bits(cells: DataFrame, detected: DataFrame, templates: tuple[dims.Template, ...] = dims.TEMPLATES) -> DataFrame:
     """EX5, WIN11, SC39: bit records of the best table, in target units."""
     body = data_rows(cells, "bit_record", dims.BIT_COLUMNS, every=False).join(detected.select("doc_id", "template_id"), "doc_id", "left")
     type_of = F.try_element_at(literal_map(dims.BIT_TYPES), F.lower(_cell("type")))
-    fields = {f: _number(f, kind, key) for f, kind, key in (("size_in", "diameter", "bit_size"), ("depth_in_m", "length", "depth"), ("depth_out_m", "length", "depth"), ("footage_m", "length", "footage"), ("rop_m_per_h", "speed", "rop"), ("wob_kgf", "force", "wob"), ("flow_lps", "flow", "flow"))}
+    fields = {f: _number(f, kind, key, templates) for f, kind, key in (("size_in", "diameter", "bit_size"), ("depth_in_m", "length", "depth"), ("depth_out_m", "length", "depth"), ("footage_m", "length", "footage"), ("rop_m_per_h", "speed", "rop"), ("wob_kgf", "force", "wob"), ("flow_lps", "flow", "flow"))}
     rounds = {"wob_kgf": 1, "flow_lps": 1}
     return body.select(
         F.col("doc_id").alias("report_id"), _ord().alias("ord"), F.coalesce(F.nullif(U.to_int(_cell("bit_no")), F.lit(0)), _ord()).alias("bit_no"),
@@ -155,10 +155,10 @@ def bits(cells: DataFrame, detected: DataFrame) -> DataFrame:
     )
 
 
-def mud(cells: DataFrame, detected: DataFrame) -> DataFrame:
+def mud(cells: DataFrame, detected: DataFrame, templates: tuple[dims.Template, ...] = dims.TEMPLATES) -> DataFrame:
     """EX6, SC20, JN23: mud samples of the best table; a value without any unit keeps its raw number, and raw says so."""
     body = data_rows(cells, "mud", dims.MUD_COLUMNS, every=False).join(detected.select("doc_id", "template_id"), "doc_id", "left")
-    fields = {f: U.resolve_number(_cell(f), kind, _label(f), _units_of(F.col("template_id"), key)) for f, kind, key in (("depth_m", "length", "depth"), ("density_gcc", "density", "density"), ("volume_m3", "volume", "volume"), ("pv_mpas", "viscosity", "viscosity"))}
+    fields = {f: U.resolve_number(_cell(f), kind, _label(f), _units_of(F.col("template_id"), key, templates=templates)) for f, kind, key in (("depth_m", "length", "depth"), ("density_gcc", "density", "density"), ("volume_m3", "volume", "volume"), ("pv_mpas", "viscosity", "viscosity"))}
     plain = ("funnel_viscosity_s", "yp_pa", "gel_10s_pa", "gel_10min_pa", "fl_ml", "ph", "chlorides_mg_l", "sand_pct", "solids_pct")
     rounds = {"density_gcc": 3, "depth_m": 1, "volume_m3": 1}
     point = F.when(_cell("sample_point").isNotNull(), F.coalesce(F.try_element_at(literal_map(dims.SAMPLE_POINTS), F.lower(_cell("sample_point"))), F.lit("other")))

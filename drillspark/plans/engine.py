@@ -48,8 +48,8 @@ class Engine:
         blocked = segment.blocks(lines)
         cells = tables.ruled(cells)
         raw = tables.time_log(cells, lines, self.operations)
-        bits, mud = tables.bits(cells, detected), tables.mud(cells, detected)
-        reports = header.assemble(header.header_values(cells, blocked, detected), detected)
+        bits, mud = tables.bits(cells, detected, self.templates), tables.mud(cells, detected, self.templates)
+        reports = header.assemble(header.header_values(cells, blocked, detected, self.templates), detected, self.templates)
         kpi = timelog.report_kpi(raw).select("report_id", "drill_hours")
         reports = reports.join(kpi, "report_id", "left").withColumn("etim_drill_h", F.coalesce("etim_drill_h", "drill_hours")).drop("drill_hours").withColumn("file_ord", F.col("report_id"))
         for block, name in (("summary", "sum_24hr"), ("plan", "plan_24hr")):

@@ -54,16 +54,31 @@ def summary_text(reports: DataFrame, kpi: DataFrame, verified: DataFrame) -> Dat
     return rows.select("report_id", lines.alias("text"))
 
 
-def markdown(title: str, tables: dict[str, DataFrame], limit: int = 200) -> str:
-    """SNK8-SNK10: small results as a markdown text, also when they are empty."""
+def markdown_rows(table: DataFrame) -> DataFrame:
+    """SNK8-SNK10: every row of a result as a line of a markdown table, made where the row is."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("—")) for c in table.columns]
+    return table.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+
+
+def write_markdown(table: DataFrame, path: str) -> None:
+    """SNK8-SNK10: all rows of a result of any size, as text files in ``path`` without their head."""
+    markdown_rows(table).write.text(path)
+
+
+def markdown(title: str, tables: dict[str, DataFrame]) -> str:
+    """SNK8-SNK10: whole results as one markdown text, also when they are empty. The text comes to the driver: see ``write_markdown``."""
     parts = [f"# {title}"]
     for name, df in tables.items():
-        rows = df.limit(limit).collect()
         parts += [f"\n## {name}\n", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-        parts += ["| " + " | ".join("—" if v is None else str(v) for v in r) + " |" for r in rows] or ["| " + " | ".join("—" for _ in df.columns) + " |"]
+        parts += [r["line"] for r in markdown_rows(df).toLocalIterator()] or ["| " + " | ".join("—" for _ in df.columns) + " |"]
     return "\n".join(parts) + "\n"
 
 
+def batch_summary(summary: DataFrame, path: str) -> None:
+    """SNK3: the batch's ``_summary.json`` in ``path``: a JSON line a report, written where the rows are."""
+    summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(f"{path}/_summary.json")
+
+
 def stats_json(stats: DataFrame) -> DataFrame:
     """SNK11."""
     return stats.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))

@@ -177,7 +177,7 @@ def test_stats(spark):
     items = spark.createDataFrame([("a", "W", "2026-01-01", "t", "metric", True), ("b", "", "2026-01-02", "t", "metric", True)], "file string, well_name string, report_date string, template_id string, unit_system string, synthetic boolean")
     truth = spark.createDataFrame([("a", "drilling", 24.0, 4.0, 2, [("DRILL", 20.0, None), ("REPAIR", 4.0, "equipment")], [1], "m")], "file string, phase string, sum_hours double, npt_hours double, connection_count int, time_log array<struct<code:string,hours:double,npt_category:string>>, bit_records array<int>, mud string")
     s = stats.dataset_stats(items, truth).first()
-    assert (s["sample_count"], s["missing"], s["wells"], s["productive_hours"], s["npt_hours"], s["npt_days"], s["npt_rate"], s["bit_days"]) == (2, ["b"], ["W"], 20.0, 4.0, 1, pytest.approx(1 / 6), 1)
+    assert (s["sample_count"], s["missing"], s["wells"], s["productive_hours"], s["npt_hours"], s["npt_days"], s["npt_rate"], s["bit_days"]) == (2, 1, 1, 20.0, 4.0, 1, pytest.approx(1 / 6), 1)
 
 
 def test_xlsx(spark, tmp_path):
