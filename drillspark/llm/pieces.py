@@ -283,7 +283,10 @@ class Codec:
         ends = np.frombuffer(shown.buffers()[1], np.int64)[shown.offset : shown.offset + len(shown) + 1]
         raw = np.frombuffer(shown.buffers()[2], np.uint8)[: ends[-1]] if len(shown) and ends[-1] else np.empty(0, np.uint8)
         blank = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81)) if len(raw) > 2 else np.empty(0, np.int64)
-        cuts = np.union1d(ends, blank[~np.isin(blank - 3, blank)])
+        # of blanks side by side the first begins a word
+        cuts = np.concatenate([ends, blank[np.diff(blank, prepend=-4) != 3]])
+        cuts.sort(kind="stable")
+        cuts = cuts[np.diff(cuts, prepend=-1) > 0]
         words = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), shown.buffers()[2]) if len(cuts) > 1 else pa.array([], pa.large_string())
         coded = words.dictionary_encode()
         return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
