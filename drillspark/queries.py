@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -91,12 +90,6 @@ def q_interval_sweep(spark, sf_dir):
     return swept.groupBy("report_id").agg(F.count(F.lit(1)).alias("n"), F.sum("gap").alias("gap_minutes"), F.sum("overlap").alias("overlap_minutes"), (1440 - F.max("end_m")).alias("trailing_minutes"))
 
 
-@query(f"WITH {_SPANS_SQL} SELECT s.event_id, end_m - start_m AS span_minutes, floor(value)::BIGINT AS minutes FROM spans s JOIN events e USING (event_id) WHERE abs((end_m - start_m) - floor(value)) > 0.6")
-def q_span_vs_hours(spark, sf_dir):
-    rows = _spans(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", F.floor("value").alias("minutes")), "event_id")
-    return rows.where(F.abs((F.col("end_m") - F.col("start_m")) - F.col("minutes")) > 0.6).select("event_id", (F.col("end_m") - F.col("start_m")).alias("span_minutes"), "minutes")
-
-
 @query(f"WITH {_LOG_SQL}, s AS (SELECT report_id, category, sum(hours)::DOUBLE AS hours FROM log GROUP BY ALL) SELECT report_id, category, round(hours, 4) AS hours, round(hours / coalesce(nullif(sum(hours) OVER (PARTITION BY report_id), 0), 1), 4) AS share FROM s")
 def q_cat_hours(spark, sf_dir):
     return timelog.category_hours(event_log(spark, sf_dir)).select("report_id", "category", F.round("hours", 4).alias("hours"), F.round("share", 4).alias("share"))
@@ -136,36 +129,6 @@ def q_regression(spark, sf_dir):
     return chain.depth_regression(rows).select("file_ord", "md_m", "previous_md_m")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, round(sum(l_quantity::DECIMAL(18,4)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING)::DOUBLE, 2) AS cum_hours FROM lineitem")
-def q_cumulative(spark, sf_dir):
-    w = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.sum(dec(F.col("l_quantity"))).over(w).cast("double"), 2).alias("cum_hours"))
-
-
-_WORDS = (("the", "DRILL"), ("then", "REAM"), ("and", "TRIP_IN"), ("stand", "TRIP_OUT"), ("ation", "CASING"), ("ing", "CEMENT"), ("or", "WAIT"))
-_WORDS_SQL = "(VALUES " + ", ".join(f"('{a}', '{c}', {i})" for i, (a, c) in enumerate(sorted(_WORDS, key=lambda p: -len(p[0])))) + ") k(alias, code, ord)"
-
-
-@query(f"SELECT doc_id, coalesce((SELECT code FROM {_WORDS_SQL} WHERE contains(lower(left(text, 60)), alias) ORDER BY length(alias) DESC, ord LIMIT 1), 'UNKNOWN') AS code FROM documents")
-def q_argmax_alias(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(classify.longest_keyword(F.lower("text"), list(_WORDS)), F.lit("UNKNOWN")).alias("code"))
-
-
-@query("""SELECT p_partkey, CASE WHEN trim(lower(p_type)) = '' THEN 'UNKNOWN' WHEN starts_with(lower(p_type), 'wait') OR starts_with(lower(p_type), 'standby') THEN 'WAIT' WHEN lower(p_type) = 'drilling' THEN 'DRILL' ELSE 'OTHER' END AS code FROM part""")
-def q_cascade(spark, sf_dir):
-    code = classify.normalize_code(F.col("p_type"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(code.isin("UNKNOWN", "WAIT", "DRILL") & F.lower("p_type").rlike("^(wait|standby|drilling$|\\s*$)"), code).otherwise("OTHER").alias("code"))
-
-
-_ANCHORS = ("the ", "and ", "tion", "ing ", "eau", "ich")
-
-
-@query("SELECT doc_id, " + " + ".join(f"contains(text, '{a}')::INT" for a in _ANCHORS) + " AS hits, " + " + ".join(f"contains(text, '{a}')::INT" for a in _ANCHORS) + " >= 2 AS known FROM documents")
-def q_anchor_hits(spark, sf_dir):
-    hits = sum((F.contains("text", F.lit(a)).cast("int") for a in _ANCHORS[1:]), F.contains("text", F.lit(_ANCHORS[0])).cast("int"))
-    return table(spark, sf_dir, "documents").select("doc_id", hits.alias("hits"), (hits >= 2).alias("known"))
-
-
 _SCORES = ((r"th[a-z]+", 4.0), (r"ou", 2.5), (r"[0-9]+", 1.5))
 
 
@@ -213,41 +176,6 @@ def q_date_cascade(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(D.parse_date(shown), "yyyy-MM-dd").alias("day"), r["start"].alias("start_iso"), r["end"].alias("end_iso"))
 
 
-@query("""SELECT conv_id, turn, block FROM (SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS block FROM conversations)""")
-def q_segment_ffill(spark, sf_dir):
-    w = W.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("turn")), ignorenulls=True).over(w).alias("block"))
-
-
-@query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS seq FROM conversations WHERE trim(text) <> ''")
-def q_seq(spark, sf_dir):
-    w = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return table(spark, sf_dir, "conversations").where(F.trim("text") != "").select("conv_id", "turn", F.row_number().over(w).cast("long").alias("seq"))
-
-
-@query("""SELECT user_id, count(DISTINCT island) AS islands, max(n) AS longest FROM (
-  SELECT user_id, island, count(*) AS n FROM (
-    SELECT user_id, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM (
-      SELECT *, CASE WHEN date_diff('second', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) > 21600 THEN 1 ELSE 0 END AS brk FROM (SELECT user_id, event_id, date_trunc('second', ts) AS ts FROM events)))
-  GROUP BY ALL) GROUP BY user_id""")
-def q_islands(spark, sf_dir):
-    w = W.partitionBy("user_id").orderBy("at", "event_id")
-    at = F.unix_timestamp(F.date_trunc("second", F.col("ts").cast("timestamp")))
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", at.alias("at")).withColumn("brk", F.coalesce((F.col("at") - F.lag("at").over(w) > 21600).cast("int"), F.lit(0)))
-    island = F.sum("brk").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return rows.withColumn("island", island).groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n")).groupBy("user_id").agg(F.count("island").alias("islands"), F.max("n").alias("longest"))
-
-
-@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
-def q_semi(spark, sf_dir):
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
-
-
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
-def q_anti(spark, sf_dir):
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
-
-
 @query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('brand#1'), ('brand#2')) k(known) WHERE contains(replace(lower(p_brand), ' ', ''), known) AND length(known) >= 0.8 * length(replace(lower(p_brand), ' ', '')))")
 def q_fuzzy_anti(spark, sf_dir):
     from .operators.privacy import covered
@@ -256,12 +184,6 @@ def q_fuzzy_anti(spark, sf_dir):
     return table(spark, sf_dir, "part").where(~covered(name, ["brand#1", "brand#2"])).select("p_partkey")
 
 
-@query("SELECT d.doc_id, l.quality, l.doc_id IS NULL AS missing FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
-def q_left_warn(spark, sf_dir):
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(True).alias("_there"))
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left").select("doc_id", "quality", F.col("_there").isNull().alias("missing"))
-
-
 @query("""SELECT lang, toxic, count(*) AS total, count(*) FILTER (ok) AS ok, round(count(*) FILTER (ok) / count(*), 4) AS accuracy FROM (
   SELECT d.lang, l.toxic, (l.quality = 1) = (d.n_chars >= 300) AS ok FROM documents d JOIN labels l USING (doc_id)) GROUP BY GROUPING SETS ((lang), (lang, toxic), ())""")
 def q_accuracy_sets(spark, sf_dir):
@@ -284,53 +206,6 @@ def q_counters(spark, sf_dir):
     return counters(table(spark, sf_dir, "documents"), ["lang", "source"])
 
 
-@query("SELECT count(*) AS n, count(text) AS n_text, count(lang) AS n_lang, count(DISTINCT source) AS sources, min(n_chars) AS least, max(n_chars) AS most, count(*) FILTER (n_chars > 1000) AS long FROM documents")
-def q_availability(spark, sf_dir):
-    return table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n"), F.count("text").alias("n_text"), F.count("lang").alias("n_lang"), F.count_distinct("source").alias("sources"), F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.count_if(F.col("n_chars") > 1000).alias("long"))
-
-
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, 'discount' AS field, 'error' AS severity FROM lineitem WHERE l_discount > 0.09 UNION ALL
-SELECT l_orderkey, l_linenumber, l_partkey, 'quantity', 'warning' FROM lineitem WHERE l_quantity > 45 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'tax', 'warning' FROM lineitem WHERE l_tax < 0.01""")
-def q_issues(spark, sf_dir):
-    from .operators.validate import issues
-
-    rules = [("discount", "error", F.col("l_discount") > 0.09, F.lit("")), ("quantity", "warning", F.col("l_quantity") > 45, F.lit("")), ("tax", "warning", F.col("l_tax") < 0.01, F.lit(""))]
-    return issues(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], rules).select("l_orderkey", "l_linenumber", "l_partkey", "field", "severity")
-
-
-@query("""SELECT coalesce(o_orderkey, l_orderkey) AS orderkey, o_orderkey IS NULL AS no_order, l_orderkey IS NULL AS no_lines, round(total, 2) AS total, coalesce(abs(o_totalprice - total) <= 0.02, false) AS close
-FROM orders FULL JOIN (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(18,4))::DOUBLE AS total FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""")
-def q_reconcile(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(dec(F.col("l_extendedprice"))).cast("double").alias("total"))
-    rows = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "full")
-    return rows.select(F.coalesce("o_orderkey", "l_orderkey").alias("orderkey"), F.col("o_orderkey").isNull().alias("no_order"), F.col("l_orderkey").isNull().alias("no_lines"), F.round("total", 2).alias("total"), F.coalesce(F.abs(F.col("o_totalprice") - F.col("total")) <= 0.02, F.lit(False)).alias("close"))
-
-
-@query("SELECT c_custkey, c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY') AS bad_segment, c_acctbal < 0 AS bad_balance FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY') OR c_acctbal < 0")
-def q_schema_check(spark, sf_dir):
-    segment, balance = ~F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE", "MACHINERY"), F.col("c_acctbal") < 0
-    return table(spark, sf_dir, "customer").where(segment | balance).select("c_custkey", segment.alias("bad_segment"), balance.alias("bad_balance"))
-
-
-_MAIL = r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z]+"
-
-
-@query(f"SELECT doc_id, len(regexp_extract_all(text, '{_MAIL}')) AS mails, regexp_matches(text, '\\[(redacted|anonymised)\\]') AS redacted FROM documents WHERE regexp_matches(text, '{_MAIL}')")
-def q_privacy(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.where(F.col("text").rlike(_MAIL)).select("doc_id", F.regexp_count("text", F.lit(_MAIL)).cast("long").alias("mails"), F.col("text").rlike(r"\[(redacted|anonymised)\]").alias("redacted"))
-
-
-@query("SELECT item_id, unnest(regexp_extract_all(text, '[a-z]{0,12}(?:tion|ing)')) AS mention FROM benchmark")
-def q_mentions(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all("text", F.lit("[a-z]{0,12}(?:tion|ing)"), F.lit(0))).alias("mention"))
-
-
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def q_json(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
-
-
 @query("SELECT c_custkey, c_name AS name, c_mktsegment AS segment FROM customer")
 def q_pairs(spark, sf_dir):
     line = T.pairs(F.concat_ws("|", F.lit("name"), "c_name", F.lit(" segment "), "c_mktsegment", F.lit("name"), F.lit("second")))
@@ -343,26 +218,6 @@ def q_grade(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", grade["inner_wear"].alias("inner_wear"), grade["outer_wear"].alias("outer_wear"), grade["dull_char"].alias("dull_char"), grade["reason_pulled"].alias("reason_pulled"))
 
 
-@query("SELECT c_nationkey, c_custkey, c_acctbal, k FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS k FROM customer) WHERE k <= 3")
-def q_topk(spark, sf_dir):
-    w = W.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")
-    return table(spark, sf_dir, "customer").withColumn("k", F.row_number().over(w).cast("long")).where("k <= 3").select("c_nationkey", "c_custkey", "c_acctbal", "k")
-
-
-@query("SELECT 'union' AS op, c_nationkey AS nation FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier) UNION ALL SELECT 'except', * FROM (SELECT c_nationkey FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_nationkey < 12) UNION ALL SELECT 'both', * FROM (SELECT c_nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_nationkey < 12)")
-def q_setops(spark, sf_dir):
-    c, s = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")), table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"))
-    low = s.where("nation < 12")
-    named = lambda op, df: df.select(F.lit(op).alias("op"), "nation")
-    return named("union", c.union(s).distinct()).union(named("except", c.subtract(low))).union(named("both", c.intersect(low)))
-
-
-@query("SELECT conv_id, string_agg(text, ' ' ORDER BY turn, role, text) AS text FROM conversations GROUP BY conv_id")
-def q_line_concat(spark, sf_dir):
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x["text"])
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(lines, " ").alias("text"))
-
-
 @query("""SELECT conv_id, turn, role, CASE WHEN k % 3 = 0 THEN 'equipment_failure' WHEN k % 3 = 1 THEN 'wellbore_problem' ELSE 'info' END AS event_type, CASE WHEN k % 3 < 2 THEN (k % 9 + 1)::DOUBLE END AS hours, k % 3 < 2 AS verified
 FROM (SELECT *, turn + conv_id AS k FROM conversations)""")
 def q_event_rule(spark, sf_dir):
@@ -377,3 +232,6 @@ def q_event_rule(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is each report compliant, and how was the day spent: the 24-hour rule, category hours and NPT rate in one result."""
     return timelog.report_kpi(event_log(spark, sf_dir)).withColumn("valid", F.abs(F.col("sum_hours") - 24) <= 0.01).withColumn("npt_rate", F.try_divide("npt_hours", "sum_hours"))
+
+
+from . import operator_queries  # noqa: E402, F401  registers its queries here
