@@ -92,7 +92,7 @@ class Pieces:
 class Codec:
     def __init__(self, pieces: Pieces):
         #: Ids of words by Viterbi, and by merging.
-        self.pieces, self.known, self.merged = pieces, {}, {}
+        self.pieces, self.known, self.merged, self._asked = pieces, {}, {}, ()
 
     # words
 
@@ -253,21 +253,27 @@ class Codec:
 
     _by_text = None
 
-    def words(self, words: list[str], merging: bool) -> None:
-        """Encode words that are not known yet, group by group."""
-        known, groups = self.merged if merging else self.known, {}
+    def words(self, words: list[str], ways: list[bool]) -> None:
+        """Encode words that are not known yet, group by group, by Viterbi (False) and by merging (True) as ``ways`` say."""
+        tables = [self.merged if merging else self.known for merging in ways]
+        groups: dict[int, list[str]] = {}
         for w in words:
-            if w not in known:
-                groups.setdefault(len(w), []).append(w)
+            if w not in tables[0]:
+                n = len(w)
+                if n in groups:
+                    groups[n].append(w)
+                else:
+                    groups[n] = [w]
         for size, group in groups.items():
-            if size > _LONG:
-                for w in group:
-                    known[w] = np.array(self._merge_long(w) if merging else self._viterbi_long(_points([w])[0]), np.int32)
-                continue
-            step = max(1, 2_000_000 // (size * 16))
+            step = max(1, 2_000_000 // (size * 16)) if size <= _LONG else 1
             for a in range(0, len(group), step):
                 part = group[a : a + step]
-                known.update(zip(part, (self._merge if merging else self._viterbi)(_points(part)), strict=True))
+                points = _points(part)
+                for known, merging in zip(tables, ways, strict=True):
+                    if size > _LONG:
+                        known[part[0]] = np.array(self._merge_long(part[0]) if merging else self._viterbi_long(points[0]), np.int32)
+                    else:
+                        known.update(zip(part, self._merge(points) if merging else self._viterbi(points), strict=True))
 
     # texts
 
@@ -291,15 +297,21 @@ class Codec:
         coded = words.dictionary_encode()
         return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
 
-    def coded(self, distinct: list[str], merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of these words end to end, and where each one's begin (and the last one's end)."""
-        known = self.merged if merging else self.known
-        if len(known) + len(distinct) > _KNOWN_WORDS:
-            known.clear()
-        self.words(distinct, merging)
-        each = [known[w] for w in distinct]
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        return (np.concatenate(each) if each else np.empty(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])
+    def coded(self, distinct: list[str], *ways: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of ``ways`` the ids of these words end to end, and where each one's begin (and the last one's end)."""
+        tables = [self.merged if merging else self.known for merging in ways]
+        # tables that are asked for together hold the same words
+        if ways != self._asked or any(len(known) + len(distinct) > _KNOWN_WORDS for known in tables):
+            self.known.clear()
+            self.merged.clear()
+            self._asked = ways
+        self.words(distinct, list(ways))
+        out = []
+        for known in tables:
+            each = [known[w] for w in distinct]
+            sizes = np.fromiter(map(len, each), np.int64, len(each))
+            out.append(((np.concatenate(each) if each else np.empty(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])))
+        return out
 
     @staticmethod
     def laid_out(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +322,7 @@ class Codec:
 
     def encode(self, texts: pa.Array, merging: bool = False) -> tuple[np.ndarray, np.ndarray]:
         distinct, codes, offsets = self.split(texts)
-        return self.laid_out(*self.coded(distinct, merging), codes, offsets)
+        return self.laid_out(*self.coded(distinct, merging)[0], codes, offsets)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of ids; bytes that are no UTF-8 become replacement characters."""
@@ -411,7 +423,7 @@ def _round_trip(path: str):
         codec = _codec(path)
         for part in text_slices(batches):
             distinct, codes, starts = codec.split(part.column("text"))
-            by_score, by_merge = codec.coded(distinct), codec.coded(distinct, merging=True)
+            by_score, by_merge = codec.coded(distinct, False, True)
             ids, offsets = codec.laid_out(*by_score, codes, starts)
             back = codec.decode(ids, offsets)
             same = [a == b for a, b in zip(as_string(part.column("text")).to_pylist(), back, strict=True)]
