@@ -23,7 +23,7 @@ class DigestIndex:
         """``buckets`` counts only when the index is made; a later session has to name the same number."""
         self.spark, self.buckets = spark, buckets or shuffle_partitions(spark)
         self.name = "digest_index_" + hashlib.md5(path.encode()).hexdigest()[:16]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({SCHEMA}) USING parquet OPTIONS ('compression' 'zstd') CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)

@@ -90,8 +90,8 @@ class SecretLedger:
         tag = hashlib.md5(path.encode()).hexdigest()[:16]
         self.name, self.history_name = f"secret_ledger_{tag}", f"secret_versions_{tag}"
         clustered = f"CLUSTERED BY (blob) SORTED BY (blob) INTO {self.buckets} BUCKETS"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (blob BINARY, rule_version STRING, found {SPAN.replace('array<struct<', 'ARRAY<STRUCT<')}) USING parquet {clustered} LOCATION '{path}/findings'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.history_name} (doc_id BIGINT, blob BINARY, batch BIGINT) USING parquet LOCATION '{path}/versions'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (blob BINARY, rule_version STRING, found {SPAN.replace('array<struct<', 'ARRAY<STRUCT<')}) USING parquet OPTIONS ('compression' 'zstd') {clustered} LOCATION '{path}/findings'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.history_name} (doc_id BIGINT, blob BINARY, batch BIGINT) USING parquet OPTIONS ('compression' 'zstd') LOCATION '{path}/versions'")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name).where(F.col("rule_version") == self.version)
