@@ -1,6 +1,6 @@
 """Keywords anywhere in a text count."""
 
-from drillspark import queries
+from drillspark import operator_queries as queries
 
 
 def test_keyword_behind_a_long_prefix(spark, tmp_path):
