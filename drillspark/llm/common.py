@@ -49,13 +49,10 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def store(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back, so a lost executor costs no earlier stage.
-
-    Zstandard packs hashes and texts closer than the default, and its buffers do not wait for a collection to be freed.
-    """
+def store(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it back, so a lost executor costs no earlier stage."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -37,8 +37,8 @@ class DigestIndex:
         failure: what was appended is then met again by the anti-join.
         """
         # digests are written once, so the texts are read once
-        digests = store(docs.select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest")), "digests")
-        groups = store(digests.groupBy("digest").agg(F.max("doc_id").alias("newest"), F.count(F.lit(1)).alias("group_size")), "digest-groups")
+        digests = store(docs.select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest")), "digests", "zstd")
+        groups = store(digests.groupBy("digest").agg(F.max("doc_id").alias("newest"), F.count(F.lit(1)).alias("group_size")), "digest-groups", "zstd")
         unseen = groups.join(self.table().hint("merge"), "digest", "left_anti")
         unseen.select("digest", F.col("newest").alias("doc_id")).repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
