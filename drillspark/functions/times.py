@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .units import let
+
 _CLOCK = r"([01]?\d|2[0-4]):([0-5]\d)"
 #: Date formats in order of trial, day before month.
 DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "M/d/yyyy", "yyyy.M.d", "yyyy年M月d日", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
@@ -95,9 +97,12 @@ def date_range(text: Column) -> Column:
     both = rf"{day}\s*(?:[-–~至到]|to)\s*{day}"
     part = lambda i: F.nullif(F.regexp_extract(text, both, i), F.lit(""))
     zone = F.nullif(F.regexp_extract(text, r"([+-]\d{2}:?\d{2})\s*$", 1), F.lit(""))
-    one, none = parse_date(text), F.lit(None).cast("string")
-    single = F.struct(iso(one, none, none).alias("start"), iso(F.date_add(one, 1), none, none).alias("end"))
-    return F.when(text.rlike(both), F.struct(iso(parse_date(part(1)), part(2), zone).alias("start"), iso(parse_date(part(3)), part(4), zone).alias("end"))).otherwise(single)
+    none, two = F.lit(None).cast("string"), text.rlike(both)
+    # dates are parsed once each: from the first date of a pair, or the whole text, and from the second
+    first, last = parse_date(F.when(two, part(1)).otherwise(text)), parse_date(F.when(two, part(3)))
+    read = F.struct(two.alias("two"), first.alias("first"), last.alias("last"), *[F.when(two, c).otherwise(none).alias(n) for c, n in ((part(2), "begun"), (part(4), "ended"), (zone, "zone"))])
+    final = lambda x: F.when(x["two"], x["last"]).otherwise(F.date_add(x["first"], 1))
+    return let(read, lambda x: F.struct(iso(x["first"], x["begun"], x["zone"]).alias("start"), iso(final(x), x["ended"], x["zone"]).alias("end")))
 
 
 def remark_clock(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,13 +14,28 @@ _PLACEHOLDER = r"^\s*(|-|—|/|N/A|n/a|NA|none)\s*$"
 _NUMBER = r"[+-]?\d+(?:\.\d+)?"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which stands in the plan once however often ``use`` names it; else trees double with every step."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def norm_unit(unit: Column) -> Column:
     """SC1."""
     return F.translate(F.regexp_replace(F.lower(F.trim(unit)), "[· ]", ""), "³℃℉°", "3cf")
 
 
+def quoted(text: str) -> str:
+    """A text as a literal of Spark's SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _map(values: dict[str, float]) -> Column:
-    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))])
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {float(v)!r}D" for k, v in values.items()) + ")")
+
+
+def _one_of(unit: Column, units) -> Column:
+    """Whether a unit is among these; one pattern, for a plan with a literal a unit is slow to build."""
+    return F.coalesce(unit.rlike("^(?:" + "|".join(map(re.escape, units)) + r")\z"), F.lit(False))
 
 
 def convert(value: Column, unit: Column, kind: str) -> Column:
@@ -73,39 +89,32 @@ def resolve_number(text: Column, kind: str, label: Column | None = None, templat
     any the raw number is kept, si is null and a note says so: units are never guessed.
     """
     nothing = F.lit(None).cast("string")
-    label, template_unit, override = (nothing if x is None else x for x in (label, template_unit, override))
-    q = parse_quantity(text)
-    value, own = q["value"], q["unit"]
-    kinds = {u: k for k in reversed(list(UNITS)) for u in UNITS[k]}
-    kind_of = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
-
-    def fits(unit: Column) -> Column:
-        return F.try_element_at(_map(UNITS[kind]), norm_unit(unit)).isNotNull()
-
-    from_label = label_unit(label)
-    blank = F.coalesce(text.rlike(_PLACEHOLDER), F.lit(True))
-    tried = ((own, "value"), (override, "template-override"), (from_label, "label"), (template_unit, "template"))
-    usable = [(F.coalesce(fits(u), F.lit(False)), u, s) for u, s in tried]
-
-    def chosen(of) -> Column:
-        out = None
-        for ok, unit, source in usable:
-            out = F.when(ok, of(unit, source)) if out is None else out.when(ok, of(unit, source))
-        return out
-
-    si, source = chosen(lambda u, s: convert(value, u, kind)), F.coalesce(chosen(lambda u, s: F.lit(s)), F.lit("unknown"))
-    other = F.try_element_at(kind_of, norm_unit(own))
-    notes = F.array_compact(F.array(
-        F.when(~usable[0][0] & other.isNotNull(), F.concat(F.lit("the value's unit "), own, F.lit(f" is no unit of {kind}"))),
-        F.when(source == "template", F.concat(F.lit("unit from the template: "), template_unit)),
-        F.when(~blank & value.isNull(), F.concat(F.lit("no number in "), text)),
-        F.when(value.isNotNull() & (source == "unknown"), F.lit(f"no unit for {kind}: raw value kept")),
-    ))
-    found = value.isNotNull()
-    return F.struct(
-        F.when(found, si).alias("si"), value.alias("raw"), F.when(found, chosen(lambda u, s: u)).alias("unit"), F.when(found, source).otherwise(F.lit("unknown")).alias("unit_source"),
-        notes.alias("notes"), (blank | (found & (source != "unknown"))).alias("ok"),
-    )
+    given = [nothing if x is None else x for x in (label, template_unit, override)]
+    known, every = list(UNITS[kind]), sorted({u for units in UNITS.values() for u in units})
+
+    def choose(x: Column) -> Column:
+        tried = ((x["q"]["unit"], "value"), (x["override"], "template-override"), (label_unit(x["label"]), "label"), (x["template_unit"], "template"))
+        usable = F.filter(F.array(*[F.struct(u.alias("unit"), F.lit(s).alias("source")) for u, s in tried]), lambda t: _one_of(norm_unit(t["unit"]), known))
+        blank = F.coalesce(x["text"].rlike(_PLACEHOLDER), F.lit(True))
+        return F.struct(x["text"].alias("text"), x["template_unit"].alias("template_unit"), x["q"]["value"].alias("value"), x["q"]["unit"].alias("own"), F.try_element_at(usable, F.lit(1)).alias("use"), blank.alias("blank"))
+
+    def resolve(x: Column) -> Column:
+        own, value, use = x["own"], x["value"], x["use"]
+        source, found = F.coalesce(use["source"], F.lit("unknown")), value.isNotNull()
+        strange = ~_one_of(norm_unit(own), known) & _one_of(norm_unit(own), every)
+        notes = F.array_compact(F.array(
+            F.when(strange, F.concat(F.lit("the value's unit "), own, F.lit(f" is no unit of {kind}"))),
+            F.when(source == "template", F.concat(F.lit("unit from the template: "), x["template_unit"])),
+            F.when(~x["blank"] & value.isNull(), F.concat(F.lit("no number in "), x["text"])),
+            F.when(found & (source == "unknown"), F.lit(f"no unit for {kind}: raw value kept")),
+        ))
+        return F.struct(
+            F.when(found & use.isNotNull(), convert(value, use["unit"], kind)).alias("si"), value.alias("raw"), F.when(found, use["unit"]).alias("unit"), F.when(found, source).otherwise(F.lit("unknown")).alias("unit_source"),
+            notes.alias("notes"), (x["blank"] | (found & (source != "unknown"))).alias("ok"),
+        )
+
+    read = F.struct(text.alias("text"), *[x.alias(n) for x, n in zip(given, ("label", "template_unit", "override"), strict=True)], parse_quantity(text).alias("q"))
+    return let(let(read, choose), resolve)
 
 
 def kept(result: Column) -> Column:

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..dims import OPERATIONS, Operation
 from ..functions.text import fold_wide
+from ..functions.units import quoted
+
 
 def literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    """A map literal; one expression, for a call a key makes large plans slow to build."""
+    said = lambda x: "null" if x is None else quoted(x) if isinstance(x, str) else f"{x!r}D" if isinstance(x, float) else repr(x)
+    return F.expr("map(" + ", ".join(said(x) for pair in values.items() for x in pair) + ")")
 
 
 def _keywords(pairs: list[tuple[str, str]]) -> Column:
     """(keyword, value) pairs as an array literal, longest first and else in their order (SRT5)."""
     ordered = sorted(((k.lower(), v) for k, v in pairs), key=lambda p: -len(p[0]))
-    return F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("code")) for k, v in ordered])
+    return F.expr("array(" + ", ".join(f"named_struct('key', {quoted(k)}, 'code', {quoted(v)})" for k, v in ordered) + ")")
 
 
 def longest_keyword(text: Column, pairs: list[tuple[str, str]], negation: str | None = None, word_boundary: bool = False) -> Column:

@@ -11,6 +11,7 @@ from .. import dims
 from ..functions import text as T
 from ..functions import times as D
 from ..functions import units as U
+from .classify import literal_map
 from .tables import _units_of
 
 
@@ -26,7 +27,7 @@ def field_of(label: Column, templates: tuple[dims.Template, ...] = dims.TEMPLATE
     exact: dict[str, str] = {}
     for n, f, _ in _labels(templates):
         exact.setdefault(n, f)
-    known = F.create_map(*[F.lit(x) for p in exact.items() for x in p])
+    known = literal_map(exact)
     near = [F.when(T.label_matches(norm, [n]), f) for n, f in sorted(exact.items(), key=lambda p: -len(p[0]))]
     return F.coalesce(F.try_element_at(known, norm), *near)
 
