@@ -1,4 +1,4 @@
-"""Accuracy of parsed reports against truth (VAL8, VAL9, AGG16-AGG19, JN14-JN16, FLT28, UD3). Truth and report meet on file, not on position."""
+"""Accuracy of parsed reports against truth (VAL8, VAL9, VAL12, AGG16-AGG19, JN14-JN16, FLT28, SRT2, UD3). Truth and report meet on file, not on position."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import text_equal
 from ..functions.units import number_ok
+from .tables import flowline
+from .timelog import report_kpi
 
 
 @dataclass(frozen=True)
@@ -96,6 +98,46 @@ def evaluate(truth: DataFrame, parsed: DataFrame, key: str = "file") -> DataFram
     return joined.select(key, F.inline(F.array(*[row(a) for a in REGISTRY]))).where(F.col("ok").isNotNull())
 
 
+def parsed_fields(parsed) -> DataFrame:
+    """JN15: a parsed batch as one row a report under the names of the assertions; ``file`` is the report.
+
+    Bits are judged by the first record, mud by the first flowline sample.
+    """
+    kpi = report_kpi(parsed.raw_log).select("report_id", F.col("entries").alias("time_entry_count"), "sum_hours", "npt_hours", F.col("npt_entries").alias("npt_entry_count"), F.col("connections").alias("connection_count"), "connection_hours")
+    bit = parsed.bits.groupBy("report_id").agg(F.count(F.lit(1)).alias("bit_count"), F.min_by(F.struct("depth_out_m", "footage_m", "dull_grade"), "ord").alias("_b"))
+    bit = bit.select("report_id", "bit_count", *[F.col(f"_b.{c}").alias(f"bit_{c}") for c in ("depth_out_m", "footage_m", "dull_grade")])
+    mud = flowline(parsed.mud).select("report_id", F.col("density_gcc").alias("mud_density_gcc"), F.col("fl_ml").alias("mud_fl_ml"), F.col("funnel_viscosity_s").alias("mud_viscosity_s"))
+    rows = parsed.reports
+    for side in (kpi, bit, mud):
+        rows = rows.join(side, "report_id", "left")
+    return rows.withColumnsRenamed({"report_id": "file"}).withColumns({"report_date": F.left("dtim_start", F.lit(10)), "bit_count": F.coalesce("bit_count", F.lit(0))})
+
+
+def worst_first(accuracy: DataFrame) -> DataFrame:
+    """SRT2: by accuracy, least first; none counts as 0."""
+    return accuracy.orderBy(F.coalesce("accuracy", F.lit(0.0)), *[c for c in ("group", "field") if c in accuracy.columns])
+
+
+def fingerprint(spark) -> DataFrame:
+    """VAL12: (key, value): when, with what and of which commit a result is; without git it says so."""
+    import platform
+    import subprocess
+    from datetime import UTC, datetime
+    from pathlib import Path
+
+    def git(*arguments: str) -> str | None:
+        try:
+            done = subprocess.run(["git", *arguments], cwd=Path(__file__).parent, capture_output=True, encoding="utf-8", errors="replace", timeout=10)
+        except (OSError, subprocess.SubprocessError):
+            return None
+        return done.stdout.strip() if done.returncode == 0 else None
+
+    changed = git("status", "--porcelain", ":/")
+    state = "unknown" if changed is None else "changed" if changed else "clean"
+    facts = {"made_at": datetime.now(UTC).isoformat(timespec="seconds"), "python": platform.python_version(), "spark": spark.version, "commit": git("rev-parse", "--short", "HEAD") or "unknown", "tree": state}
+    return spark.createDataFrame(list(facts.items()), "key string, value string")
+
+
 def missing(registered: DataFrame, present: DataFrame, key: str = "file") -> DataFrame:
     return registered.select(key).join(present.select(key), key, "left_anti")
 

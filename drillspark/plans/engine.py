@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,14 @@ class Parsed:
             v.createOrReplaceTempView(prefix + k)
 
 
+    def written(self, path: str, names: tuple[str, ...] = ("reports", "raw_log", "bits", "mud", "remarks", "events", "verified")) -> Parsed:
+        """The same batch with these tables written to ``path`` and read back, so what follows plans over files and not over the parsing."""
+        spark, tables_of = self.reports.sparkSession, self.tables()
+        for name in names:
+            tables_of[name].write.mode("overwrite").parquet(f"{path}/{name}")
+        return replace(self, **{name: spark.read.schema(tables_of[name].schema).parquet(f"{path}/{name}") for name in names})
+
+
 class Engine:
     def __init__(self, spark: SparkSession, operations: tuple[dims.Operation, ...] = dims.OPERATIONS, templates: tuple[dims.Template, ...] = dims.TEMPLATES):
         self.spark, self.operations, self.templates = spark, operations, templates
