@@ -54,12 +54,17 @@ class Pieces:
         self.is_byte = kinds == 6
         self.silent = np.isin(kinds, [3, 5])
         hashes = np.array([self._hash(self.text[i]) for i in usable], np.uint64)
-        order = np.argsort(hashes)
+        order = np.argsort(self._bit(hashes), kind="stable")
         self.keys, self.ids = hashes[order], usable[order]
         self.longest = max(len(self.text[i]) for i in usable)
         # one bit of a million for each key: most substrings are no piece, and few of those are looked for
+        bits = self._bit(self.keys)
         self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self._bit(self.keys)] = True
+        self.maybe[bits] = True
+        # keys of one bit stand side by side, from first on
+        self.first = np.zeros(1 << 20, np.int32)
+        self.first[bits[::-1]] = np.arange(len(bits), dtype=np.int32)[::-1]
+        self.crowd = int(np.bincount(bits).max())
 
     @classmethod
     def of(cls, pieces: list[tuple[str, float, int]], bpe: bool, prefix: bool = True, fallback: bool = False) -> Pieces:
@@ -81,18 +86,23 @@ class Pieces:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids by hash, -1 where there is none."""
-        out = np.full(hashes.shape, -1, np.int64)
-        here = np.nonzero(self.maybe[self._bit(hashes)])
-        found = hashes[here]
-        at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-        out[here] = np.where(self.keys[at] == found, self.ids[at], -1)
-        return out
+        out = np.full(hashes.size, -1, np.int64)
+        flat = hashes.reshape(-1)
+        bits = self._bit(flat)
+        here = np.flatnonzero(self.maybe[bits])
+        found, at = flat[here], self.first[bits[here]]
+        for _ in range(self.crowd):
+            hit = self.keys[at] == found
+            out[here[hit]] = self.ids[at[hit]]
+            rest = ~hit
+            here, found, at = here[rest], found[rest], np.minimum(at[rest] + 1, len(self.keys) - 1)
+        return out.reshape(hashes.shape)
 
 
 class Codec:
     def __init__(self, pieces: Pieces):
-        #: Ids of words by Viterbi, and by merging.
-        self.pieces, self.known, self.merged, self._asked = pieces, {}, {}, ()
+        #: Places of words, and for each way that is asked for all words' ids end to end and where each one's begin.
+        self.pieces, self.places, self._asked, self._held = pieces, {}, (), []
 
     # words
 
@@ -105,87 +115,90 @@ class Codec:
             return [self.pieces.unknown]
         return [self.pieces.bytes[b] for b in chr(point).encode("utf-8", "replace")]
 
-    def _viterbi(self, points: np.ndarray) -> list[np.ndarray]:
-        """Best segmentations of equally long words (rows)."""
+    def _laid(self, ids: np.ndarray, rows: np.ndarray, points: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words end to end and how many each has, by ids in any order of words; where one is negative, the code point at its place is spelled."""
+        order = np.argsort(rows, kind="stable")
+        ids, rows = ids[order].astype(np.int32), rows[order]
+        bare = np.flatnonzero(ids < 0)
+        if len(bare):
+            spelled = [self._spelled(c) for c in points[rows[bare], places[order[bare]]].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[bare] = [len(x) for x in spelled]
+            ids, rows = np.repeat(ids, times), np.repeat(rows, times)
+            ids[ids < 0] = [i for x in spelled for i in x]
+        return ids, np.bincount(rows, minlength=len(points))
+
+    def _viterbi(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best segmentations of equally long words (rows): ids end to end, and how many each word has."""
         p, (n, size) = self.pieces, points.shape
-        prefix = np.zeros((n, size + 1), np.uint64)
+        # a row for each place, so that all words' values for one place lie side by side
+        prefix = np.zeros((size + 1, n), np.uint64)
         for i in range(size):
-            prefix[:, i + 1] = prefix[:, i] * _BASE + points[:, i].astype(np.uint64) + np.uint64(1)
-        best = np.full((n, size + 1), -np.inf)
-        best[:, 0] = 0
-        back, chosen = np.zeros((n, size + 1), np.int64), np.zeros((n, size + 1), np.int64)
-        penalty = p.scores.min() - 10.0
+            prefix[i + 1] = prefix[i] * _BASE + points[:, i].astype(np.uint64) + np.uint64(1)
+        best = np.full((size + 1, n), -np.inf)
+        best[0] = 0
+        back, chosen = np.zeros((size + 1, n), np.int64), np.zeros((size + 1, n), np.int64)
+        penalty, rows = p.scores.min() - 10.0, np.arange(n)
+        power = np.multiply.accumulate(np.full(max(1, min(size, p.longest)), _BASE, np.uint64))
         for end in range(1, size + 1):
-            widths = np.arange(1, min(end, p.longest) + 1)
-            power = np.multiply.accumulate(np.full(len(widths), _BASE, np.uint64))
-            ids = p.find(prefix[:, end, None] - prefix[:, end - widths] * power)
-            score = np.where(ids >= 0, best[:, end - widths] + p.scores[np.maximum(ids, 0)], -np.inf)
-            alone = ids[:, 0] < 0
-            score[alone, 0] = best[alone, end - 1] + penalty
-            # of equal scores the longest piece, as the maximum is the last
-            top = len(widths) - 1 - score[:, ::-1].argmax(1)
-            rows = np.arange(n)
-            best[:, end], back[:, end], chosen[:, end] = score[rows, top], widths[top], ids[rows, top]
+            widest = min(end, p.longest)
+            starts = slice(end - widest, end)
+            ids = p.find(prefix[end] - prefix[starts] * power[:widest][::-1, None])
+            score = np.where(ids >= 0, best[starts] + p.scores[np.maximum(ids, 0)], -np.inf)
+            alone = ids[-1] < 0
+            score[-1, alone] = best[end - 1, alone] + penalty
+            # of equal scores the longest piece, which is the first
+            top = score.argmax(0)
+            best[end], back[end], chosen[end] = score[top, rows], widest - top, ids[top, rows]
         # all words walk back together
-        end, live, steps = np.full(n, size), np.arange(n), []
+        end, live, steps = np.full(n, size), rows, []
         while len(live):
-            steps.append((live, chosen[live, end[live]], end[live]))
-            end[live] -= back[live, end[live]]
+            at = end[live]
+            steps.append((live, chosen[at, live], at - 1))
+            end[live] = at - back[at, live]
             live = live[end[live] > 0]
         rows, ids, places = (np.concatenate([x[k] for x in reversed(steps)]) for k in range(3))
-        order = np.argsort(rows, kind="stable")
-        ids, places = ids[order].astype(np.int32), places[order]
-        ends = np.cumsum(np.bincount(rows, minlength=n))
-        out = _runs(ids, ends)
-        for r in set(np.searchsorted(ends, np.flatnonzero(ids < 0), "right").tolist()):
-            stop = places[ends[r] - len(out[r]) : ends[r]].tolist()
-            out[r] = np.array([i for x, e in zip(out[r].tolist(), stop, strict=True) for i in ([x] if x >= 0 else self._spelled(int(points[r, e - 1])))], np.int32)
-        return out
+        return self._laid(ids, rows, points, places)
 
-    def _merge(self, points: np.ndarray) -> list[np.ndarray]:
-        """BPE of equally long words (rows): in each round every word merges its best pair, the leftmost of equal ones."""
-        p, (n, size) = self.pieces, points.shape
-        hashes, powers = points.astype(np.uint64) + np.uint64(1), np.full((n, size), _BASE, np.uint64)
-        sizes, starts = np.full(n, size), np.tile(np.arange(size), (n, 1))
-        live = np.arange(n) if size > 1 else np.empty(0, np.int64)
+    def _merge(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """BPE of equally long words (rows): in each round every word merges its best pair, the leftmost of equal ones.
+
+        So after each round all words that still merge have the same number of parts, one less than before.
+        """
+        p, (n, width) = self.pieces, points.shape
+        hashes, powers = points.astype(np.uint64) + np.uint64(1), np.full((n, width), _BASE, np.uint64)
+        starts, live, done = np.tile(np.arange(width, dtype=np.int16), (n, 1)), np.arange(n), []
 
-        def pairs(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-            ids = p.find(h[:, :-1] * w[:, 1:] + h[:, 1:])
+        def scores(left: np.ndarray, right: np.ndarray, power: np.ndarray) -> np.ndarray:
+            ids = p.find(left * power + right)
             return np.where(ids >= 0, p.scores[np.maximum(ids, 0)], -np.inf)
 
-        score = pairs(hashes, powers) if size > 1 else np.empty((n, 0))
-        while len(live):
-            s = score[live]
-            s[np.arange(s.shape[1]) >= (sizes[live] - 1)[:, None]] = -np.inf
-            at = s.argmax(1)
-            go = s[np.arange(len(live)), at] > -np.inf
-            live, at = live[go], at[go]
-            if not len(live):
-                break
-            width = int(sizes[live].max())
-            column = np.arange(width)
-            # what stands right of the merged pair moves one place to the left
-            take = np.minimum(column + (column > at[:, None]), size - 1)
-            rows = live[:, None]
-            hashes[live, at] = hashes[live, at] * powers[live, at + 1] + hashes[live, at + 1]
-            powers[live, at] = powers[live, at] * powers[live, at + 1]
-            hashes[rows, column], powers[rows, column], starts[rows, column] = hashes[rows, take], powers[rows, take], starts[rows, take]
-            sizes[live] -= 1
-            if width > 1:
-                score[rows, column[: width - 1]] = score[rows, np.minimum(take[:, : width - 1], score.shape[1] - 1)]
+        def without(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+            return x[np.arange(x.shape[1]) != column[:, None]].reshape(len(x), -1)
+
+        score = scores(hashes[:, :-1], hashes[:, 1:], powers[:, 1:])
+        while width > 1 and len(live):
+            at = score.argmax(1)
+            go = score[np.arange(len(live)), at] > -np.inf
+            if not go.all():
+                done.append((live[~go], hashes[~go], starts[~go]))
+                live, at, hashes, powers, starts, score = live[go], at[go], hashes[go], powers[go], starts[go], score[go]
+                if not len(live):
+                    break
+            rows = np.arange(len(live))
+            power = powers[rows, at + 1]
+            hashes[rows, at] = hashes[rows, at] * power + hashes[rows, at + 1]
+            powers[rows, at] *= power
+            hashes, powers, starts, score = without(hashes, at + 1), without(powers, at + 1), without(starts, at + 1), without(score, at)
+            width -= 1
             for left in (at - 1, at):
-                ok = (left >= 0) & (left + 1 < sizes[live])
-                r, c = live[ok], left[ok]
-                ids = p.find(hashes[r, c] * powers[r, c + 1] + hashes[r, c + 1])
-                score[r, c] = np.where(ids >= 0, p.scores[np.maximum(ids, 0)], -np.inf)
-            live = live[sizes[live] > 1]
-        left = np.arange(size) < sizes[:, None]
-        found = p.find(hashes[left])
-        ends = np.cumsum(sizes)
-        out = _runs(found.astype(np.int32), ends)
-        for r in set(np.searchsorted(ends, np.flatnonzero(found < 0), "right").tolist()):
-            out[r] = np.array([i for c, x in enumerate(out[r].tolist()) for i in ([x] if x >= 0 else self._spelled(int(points[r, starts[r, c]])))], np.int32)
-        return out
+                r = np.flatnonzero((left >= 0) & (left + 1 < width))
+                c = left[r]
+                score[r, c] = scores(hashes[r, c], hashes[r, c + 1], powers[r, c + 1])
+        done.append((live, hashes, starts))
+        rows = np.concatenate([np.repeat(r, h.shape[1]) for r, h, _ in done])
+        ids = p.find(np.concatenate([h.reshape(-1) for _, h, _ in done]))
+        return self._laid(ids, rows, points, np.concatenate([x.reshape(-1) for _, _, x in done]))
 
     def _matches(self, points: np.ndarray) -> list[list[tuple[int, int]]]:
         """For each place of a long word the pieces that end there: (length, id)."""
@@ -253,27 +266,27 @@ class Codec:
 
     _by_text = None
 
-    def words(self, words: list[str], ways: list[bool]) -> None:
-        """Encode words that are not known yet, group by group, by Viterbi (False) and by merging (True) as ``ways`` say."""
-        tables = [self.merged if merging else self.known for merging in ways]
-        groups: dict[int, list[str]] = {}
-        for w in words:
-            if w not in tables[0]:
-                n = len(w)
-                if n in groups:
-                    groups[n].append(w)
-                else:
-                    groups[n] = [w]
-        for size, group in groups.items():
+    def words(self, words: list[str]) -> None:
+        """Encode words that are not known yet, those of a length together, in each way that is asked for: by Viterbi (False), by merging (True)."""
+        new = sorted((w for w in words if w not in self.places), key=len)
+        parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in self._asked]
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        a = 0
+        while a < len(new):
+            size = int(sizes[a])
             step = max(1, 2_000_000 // (size * 16)) if size <= _LONG else 1
-            for a in range(0, len(group), step):
-                part = group[a : a + step]
-                points = _points(part)
-                for known, merging in zip(tables, ways, strict=True):
-                    if size > _LONG:
-                        known[part[0]] = np.array(self._merge_long(part[0]) if merging else self._viterbi_long(points[0]), np.int32)
-                    else:
-                        known.update(zip(part, self._merge(points) if merging else self._viterbi(points), strict=True))
+            part = new[a : min(a + step, int(np.searchsorted(sizes, size, "right")))]
+            points = _points(part)
+            for merging, found in zip(self._asked, parts, strict=True):
+                if size > _LONG:
+                    ids = np.array(self._merge_long(part[0]) if merging else self._viterbi_long(points[0]), np.int32)
+                    found.append((ids, np.array([len(ids)])))
+                else:
+                    found.append(self._merge(points) if merging else self._viterbi(points))
+            a += len(part)
+        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+        if new:
+            self._held = [(np.concatenate([flat, *[x for x, _ in found]]), np.concatenate([starts, starts[-1] + np.cumsum(np.concatenate([x for _, x in found]))])) for (flat, starts), found in zip(self._held, parts, strict=True)]
 
     # texts
 
@@ -295,26 +308,19 @@ class Codec:
         cuts = cuts[np.diff(cuts, prepend=-1) > 0]
         words = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), shown.buffers()[2]) if len(cuts) > 1 else pa.array([], pa.large_string())
         coded = words.dictionary_encode()
-        return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
+        return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.searchsorted(cuts, ends)
 
     def coded(self, distinct: list[str], *ways: bool) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each of ``ways`` the ids of these words end to end, and where each one's begin (and the last one's end)."""
-        tables = [self.merged if merging else self.known for merging in ways]
-        # tables that are asked for together hold the same words
-        if ways != self._asked or any(len(known) + len(distinct) > _KNOWN_WORDS for known in tables):
-            self.known.clear()
-            self.merged.clear()
-            self._asked = ways
-        self.words(distinct, list(ways))
-        out = []
-        for known in tables:
-            each = [known[w] for w in distinct]
-            sizes = np.fromiter(map(len, each), np.int64, len(each))
-            out.append(((np.concatenate(each) if each else np.empty(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])))
-        return out
+        if ways != self._asked or len(self.places) + len(distinct) > _KNOWN_WORDS:
+            self.places, self._asked = {}, ways
+            self._held = [(np.empty(0, np.int32), np.zeros(1, np.int64)) for _ in ways]
+        self.words(distinct)
+        index = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        return [self.laid_out(flat, starts, index, slice(None)) for flat, starts in self._held]
 
     @staticmethod
-    def laid_out(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def laid_out(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray, offsets: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and each text's offsets: the words ``codes``, whose ids ``coded`` gives."""
         sizes = np.diff(starts)[codes]
         ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -338,11 +344,6 @@ class Codec:
         return [t[1:] if p.prefix and t.startswith(" ") else t for t in out]
 
 
-def _runs(ids: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    ends = ends.tolist()
-    return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-
 def _points(words: list[str]) -> np.ndarray:
     """Code points of equally long words, a row each."""
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
