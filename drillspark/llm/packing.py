@@ -71,7 +71,6 @@ class WordTokenizer:
         if odd:
             found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
             self._add(np.concatenate(found), np.array([len(x) for x in found]))
-        self.known = pa.concat_arrays([self.known, pa.array([*plain, *odd], pa.large_string())])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and each text's offsets into them."""
@@ -86,20 +85,32 @@ class WordTokenizer:
         whole = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), distinct, pa.scalar(" ", pa.large_string()))
         parts = pc.split_pattern(pc.if_else(safe, cut, whole), "\n")
         pieces = parts.flatten().dictionary_encode()
-        new = self._unknown(pieces.dictionary)
-        if len(self.known) + len(new) > _CACHE_WORDS:
-            self._forget()
-            new = self._unknown(pieces.dictionary)
-        self._learn([w for w in new if w[0] != " "], [w for w in new if w[0] == " "])
-        number = pc.index_in(pieces.dictionary, value_set=self.known).to_numpy()
+        number = self._numbers(pieces.dictionary)
         ids, ends = _gathered(self.flat, self.starts, number[pieces.indices.to_numpy()])
         # of distinct words, then of all words in their order
         ids, word_ends = _gathered(ids, ends[parts.offsets.to_numpy()], coded.indices.to_numpy())
         pa.default_memory_pool().release_unused()
         return ids, word_ends[offsets]
 
-    def _unknown(self, pieces: pa.Array) -> list[str]:
-        return pieces.filter(pc.is_null(pc.index_in(pieces, value_set=self.known))).to_pylist()
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each of these distinct pre-tokens among the known ones; new ones are tokenized and get the next places."""
+        at = pc.index_in(pieces, value_set=self.known)
+        if len(self.known) + at.null_count > _CACHE_WORDS and len(self.known):
+            self._forget()
+            at = pa.nulls(len(pieces), pa.int32())
+        number = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            fresh = pieces.take(pa.array(new))
+            odd = pc.starts_with(fresh, " ").to_numpy(zero_copy_only=False)
+            # words that are left whole come last
+            order = np.argsort(odd, kind="stable")
+            number[new[order]] = len(self.known) + np.arange(len(new))
+            fresh, plain = fresh.take(pa.array(order)), len(new) - int(odd.sum())
+            words = fresh.to_numpy(zero_copy_only=False).tolist()
+            self._learn(words[:plain], words[plain:])
+            self.known = pa.concat_arrays([self.known, fresh])
+        return number
 
 
 def _gathered(flat: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
