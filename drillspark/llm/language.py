@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_string, bounded_batches, mix64, ship, store, text_slices, unpacked
+from .common import as_string, bounded_batches, giving_back, mix64, ship, store, text_slices, unpacked
 
 
 @dataclass(frozen=True)
@@ -237,7 +237,7 @@ def learn(docs: DataFrame, cfg: LanguageModel = LanguageModel()) -> Languages:
     bounded_batches(spark)
     rows = _learnable(docs, cfg).withColumn("_spared", F.pmod(F.xxhash64("doc_id"), F.lit(cfg.spared)) == 0)
     slot = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFFFFFF)) % SLOTS
-    counts = rows.where("not _spared").select("text", "lang").mapInArrow(_count, GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.where("not _spared").select("text", "lang").mapInArrow(giving_back(_count), GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = store(counts.withColumn("slot", slot.cast("int")), "grams")
     # how often runs of three, two and one have been continued to the left
     shorter = lambda df, m: df.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * m) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
@@ -365,8 +365,9 @@ def _pass(docs: DataFrame, model: Languages, keep: list[str] | None, schema) ->
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("doc"), "text", F.lit(None).cast(_SUMS).alias("sums"))
     for shared in model.shards[:-1]:
-        rows = store(rows.mapInArrow(_through(shared), rows.schema), "language-sums")
-    return rows.mapInArrow(_finish(model.shards[-1] if model.shards else None, model.langs, model.bounds, model.evidence, keep, docs.columns), schema)
+        rows = store(rows.mapInArrow(giving_back(_through(shared)), rows.schema), "language-sums")
+    last = _finish(model.shards[-1] if model.shards else None, model.langs, model.bounds, model.evidence, keep, docs.columns)
+    return rows.mapInArrow(giving_back(last), schema)
 
 
 def identify(docs: DataFrame, model: Languages, cfg: LanguageModel = LanguageModel()) -> DataFrame:

@@ -6,6 +6,7 @@ the next round, where groups of a bounded number of them are best-fit again, unt
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, store, text_slices, words_of
+from .common import bounded_batches, giving_back, store, text_slices, words_of
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,21 @@ _CACHE_WORDS = 200_000
 _SAFE = "^[\\x21-\\x7E\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
 _CUT = "('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z\u00DF-\u00F6\u00F8-\u00FF0-9]+)"
 _TOGETHER = 100
+_loaded: dict = {}
+
+
+def _tokenizer(path: str):
+    """The tokenizer of this file, loaded once a process: the library's threads keep memory of each one that has been used."""
+    from tokenizers import Tokenizer
+
+    at = os.stat(path)
+    key = path, at.st_mtime_ns, at.st_size
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Tokenizer.from_file(path)
+        _loaded[key].no_padding()
+        _loaded[key].no_truncation()
+    return _loaded[key]
 
 
 class WordTokenizer:
@@ -46,11 +62,7 @@ class WordTokenizer:
     and cut words into letters, single digits and other signs."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.tokenizer = _tokenizer(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -199,7 +211,7 @@ def pack(docs: DataFrame, cfg: Packing) -> DataFrame:
     A task holds some 50 bytes a piece of its partition, and a later round ``group`` bins a task.
     """
     bounded_batches(docs.sparkSession)
-    placed = store(docs.select("doc_id", "text").mapInArrow(_tokenize_and_pack(cfg), PACKED), "pieces")
+    placed = store(docs.select("doc_id", "text").mapInArrow(giving_back(_tokenize_and_pack(cfg)), PACKED), "pieces")
     moves = None  # (bin, to, by): where underfull bins of the first round have gone
     open_bins = store(placed.where((F.col("at") == 0) & (F.col("fill") <= cfg.capacity - cfg.slack)).select("bin", "fill"), "open-bins")
     count = open_bins.count()
@@ -209,7 +221,7 @@ def pack(docs: DataFrame, cfg: Packing) -> DataFrame:
         groups = -(-count // cfg.group)
         # hashed anew in every round, so other bins meet
         dealt = open_bins.repartition(groups, F.xxhash64("bin", F.lit(turn)))
-        step = store(dealt.mapInArrow(_pack_bins(cfg), "bin bigint, parent bigint, shift bigint, parent_fill int"), "merges")
+        step = store(dealt.mapInArrow(giving_back(_pack_bins(cfg)), "bin bigint, parent bigint, shift bigint, parent_fill int"), "merges")
         if moves is None:
             moves = step.select("bin", F.col("parent").alias("to"), F.col("shift").alias("by"))
         else:
