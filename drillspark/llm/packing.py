@@ -40,18 +40,19 @@ _CACHE_WORDS = 200_000
 _SAFE = "^[\\x21-\\x7E\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
 _CUT = "('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z\u00DF-\u00F6\u00F8-\u00FF0-9]+)"
 _TOGETHER = 100
-_loaded: dict = {}
 
 
 def _tokenizer(path: str):
     """The tokenizer of this file, loaded once a process: the library's threads keep memory of each one that has been used."""
-    from tokenizers import Tokenizer
+    import tokenizers
 
+    # this package goes to workers by value, with new globals for each task, so what is to last is kept at the library's module
+    _loaded = tokenizers.__dict__.setdefault("_drillspark_loaded", {})
     at = os.stat(path)
     key = path, at.st_mtime_ns, at.st_size
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Tokenizer.from_file(path)
+        _loaded[key] = tokenizers.Tokenizer.from_file(path)
         _loaded[key].no_padding()
         _loaded[key].no_truncation()
     return _loaded[key]

@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tokenizers
+from pyspark import cloudpickle
 
 from drillspark.llm import common, packing
 
@@ -53,3 +54,11 @@ def test_freed_memory_is_given_back_when_a_task_is_done(monkeypatch):
     assert next(cut) == 2 and calls == [1]
     cut.close()
     assert calls == [1, 1]
+
+
+def test_tasks_that_come_by_value_share_one_tokenizer(tmp_path):
+    import drillspark.llm.packing as module
+
+    path = shutil.copy(public_tokenizers.path("word_bpe_49k.json"), tmp_path / "tokenizer.json")
+    sent = cloudpickle.dumps(module._tokenizer)
+    assert cloudpickle.loads(sent)(str(path)) is cloudpickle.loads(sent)(str(path))
