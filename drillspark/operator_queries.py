@@ -432,7 +432,7 @@ _OWN = [(None, None), ("NPT 非生产", "npt"), ("flat time", "flat"), ("product
 @query(f"""SELECT p_partkey, code, category, category = 'npt' AS is_npt, CASE WHEN category = 'npt' THEN cause END AS npt_category, ilt AS ilt_action, ilt IS NOT NULL OR code IN ('DRILL', 'CIRCULATE') AS is_ilt_candidate
 FROM (SELECT p_partkey, code, cause, ilt, coalesce({_by_sql('p_partkey', [c for _, c in _OWN])}, cat) AS category FROM part JOIN (VALUES {_values([(i, *o[1:]) for i, o in enumerate(_OPS)])}) o(i, code, cat, cause, ilt) ON i = p_size % 6)""")
 def q_classify(spark, sf_dir):
-    entries = table(spark, sf_dir, "part").select("p_partkey", _by(F.col("p_size"), [o[0] for o in _OPS]).alias("operation"), _by(F.col("p_partkey"), [h for h, _ in _OWN]).alias("category_hint"))
+    entries = table(spark, sf_dir, "part", by="p_partkey").select("p_partkey", _by(F.col("p_size"), [o[0] for o in _OPS]).alias("operation"), _by(F.col("p_partkey"), [h for h, _ in _OWN]).alias("category_hint"))
     return classify.classify(entries).select("p_partkey", "code", "category", "is_npt", "npt_category", "ilt_action", "is_ilt_candidate")
 
 
@@ -449,7 +449,7 @@ def q_cascade(spark, sf_dir):
     every = F.array(*[F.lit(a) for _, a, _ in _ALIASES])
     pick = lambda k: F.element_at(every, (k % len(_ALIASES) + 1).cast("int"))
     k = F.col("p_partkey")
-    text = table(spark, sf_dir, "part").select("p_partkey", F.concat(pick(k), F.lit(" ; "), pick(k * 7)).alias("t"))
+    text = table(spark, sf_dir, "part", by="p_partkey").select("p_partkey", F.concat(pick(k), F.lit(" ; "), pick(k * 7)).alias("t"))
     return text.select("p_partkey", classify.normalize_code(F.col("t")).alias("code"))
 
 

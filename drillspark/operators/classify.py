@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..dims import OPERATIONS, Operation
 from ..functions.text import fold_wide
-from ..functions.units import quoted
+from ..functions.units import let, quoted
 
 
 def literal_map(values: dict) -> Column:
@@ -28,19 +28,23 @@ def _keywords(pairs: list[tuple[str, str]]) -> Column:
 def longest_keyword(text: Column, pairs: list[tuple[str, str]], negation: str | None = None, word_boundary: bool = False) -> Column:
     """JN2, JN5, JN6: the value of the longest keyword in ``text``; the first of equally long ones. Row-local, no join.
 
-    With ``negation`` hits behind that pattern do not count; with ``word_boundary`` Latin keywords have to be whole words.
+    With ``negation`` hits behind that pattern do not count; with ``word_boundary`` Latin keywords have to be whole words. The text
+    is bound, for a lambda works out what it names anew for each keyword.
     """
 
-    def hit(p: Column) -> Column:
-        found = F.contains(text, p["key"])
-        if negation:
-            found = found & ~F.substring(text, F.lit(1), F.position(p["key"], text) - 1).rlike(negation)
-        if word_boundary:
-            latin = p["key"].rlike("^[a-z ]+$")
-            found = found & (~latin | F.rlike(text, F.concat(F.lit("(?<![a-z])"), p["key"], F.lit("(?![a-z])"))))
-        return found
+    def first(text: Column) -> Column:
+        def hit(p: Column) -> Column:
+            found = F.contains(text, p["key"])
+            if negation:
+                found = found & ~F.substring(text, F.lit(1), F.position(p["key"], text) - 1).rlike(negation)
+            if word_boundary:
+                latin = p["key"].rlike("^[a-z ]+$")
+                found = found & (~latin | F.rlike(text, F.concat(F.lit("(?<![a-z])"), p["key"], F.lit("(?![a-z])"))))
+            return found
 
-    return F.try_element_at(F.filter(_keywords(pairs), hit), F.lit(1))["code"]
+        return F.try_element_at(F.filter(_keywords(pairs), hit), F.lit(1))["code"]
+
+    return let(text, first)
 
 
 def exact_code(text: Column, operations: tuple[Operation, ...] = OPERATIONS) -> Column:
@@ -56,21 +60,25 @@ def normalize_code(text: Column, operations: tuple[Operation, ...] = OPERATIONS,
 
     Runs of blanks are one, and marks around the text do not count. Texts that hold no alias at all skip the search for one.
     """
-    norm = F.btrim(F.trim(F.regexp_replace(F.lower(fold_wide(text)), r"(?U)\s+", " ")), F.lit(" .;:、，。"))
-    severe = [F.when(norm.rlike("(?U)" + p) & ~F.regexp_extract(norm, f"(?sU)^(.*?)(?:{p})", 1).rlike(dims.NEGATED), code) for p, code in dims.SEVERE]
-    number = F.when(norm.rlike(r"^\d{1,2}$"), F.try_element_at(literal_map(dims.ACTIVITY_CODES), norm.try_cast("int")))
     aliases = [(a, o.code) for o in operations for a in o.aliases]
-    inner = F.transform(F.regexp_extract_all(norm, F.lit(r"[（(]([^）)]+)[）)]"), F.lit(1)), lambda c: exact_code(F.trim(c), operations))
-    return F.coalesce(
-        F.when(F.coalesce(norm, F.lit("")) == "", "UNKNOWN"),
-        F.when(F.greatest(*[norm.startswith(p) for p in dims.WAIT_PREFIXES]), "WAIT"),
-        *severe,
-        number,
-        exact_code(norm, operations),
-        F.when(norm.rlike("|".join(sorted({re.escape(a.lower()) for a, _ in aliases}))), longest_keyword(norm, aliases, dims.NEGATED, word_boundary)),
-        F.try_element_at(F.array_compact(inner), F.lit(1)),
-        F.lit("UNKNOWN"),
-    )
+    held = "|".join(sorted({re.escape(a.lower()) for a, _ in aliases}))
+
+    def tiers(norm: Column) -> Column:
+        severe = [F.when(norm.rlike("(?U)" + p) & ~F.regexp_extract(norm, f"(?sU)^(.*?)(?:{p})", 1).rlike(dims.NEGATED), code) for p, code in dims.SEVERE]
+        number = F.when(norm.rlike(r"^\d{1,2}$"), F.try_element_at(literal_map(dims.ACTIVITY_CODES), norm.try_cast("int")))
+        inner = F.transform(F.regexp_extract_all(norm, F.lit(r"[（(]([^）)]+)[）)]"), F.lit(1)), lambda c: exact_code(F.trim(c), operations))
+        return F.coalesce(
+            F.when(F.coalesce(norm, F.lit("")) == "", "UNKNOWN"),
+            F.when(F.greatest(*[norm.startswith(p) for p in dims.WAIT_PREFIXES]), "WAIT"),
+            *severe,
+            number,
+            exact_code(norm, operations),
+            F.when(norm.rlike(held), longest_keyword(norm, aliases, dims.NEGATED, word_boundary)),
+            F.try_element_at(F.array_compact(inner), F.lit(1)),
+            F.lit("UNKNOWN"),
+        )
+
+    return let(F.btrim(F.trim(F.regexp_replace(F.lower(fold_wide(text)), r"(?U)\s+", " ")), F.lit(" .;:、，。")), tiers)
 
 
 def category_of(code: Column, operations: tuple[Operation, ...] = OPERATIONS) -> Column:

@@ -15,6 +15,7 @@ from .functions import text as T
 from .functions import times as D
 from .functions import units as U
 from .operators import chain, classify, timelog
+from .operators.spread import dealt, tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,8 +33,10 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, by: str | None = None) -> DataFrame:
+    """A driver table; with ``by`` its rows are dealt by that key, for queries whose work on a row is much."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(rows, by) if by and tasks(rows) != 1 else rows
 
 
 def dec(value, digits: int = 4):
