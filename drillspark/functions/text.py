@@ -50,10 +50,11 @@ def token_pattern(token: str) -> str:
 
 
 def label_matches(label: Column, candidates: list[str] | tuple[str, ...]) -> Column:
-    """FLT11: equal, followed by a character that is no Latin one, or found as a token; ``label`` is normalised."""
-    names = [norm_label(c) for c in candidates]
-    starts = [f"^{re.escape(n)}(?![0-9A-Za-z])" for n in names if n]
-    return label.rlike("|".join(["^(?:" + "|".join(re.escape(n) for n in names) + ")$", *starts, *(token_pattern(n) for n in names)]))
+    """FLT11: equal, followed by a character that is no Latin one, or found as a token; ``label`` is normalised.
+
+    A label that equals a name or starts with it holds it as a token, so tokens are all that is looked for.
+    """
+    return label.rlike("|".join(token_pattern(norm_label(c)) for c in candidates))
 
 
 def is_code_suffix(value: Column) -> Column:

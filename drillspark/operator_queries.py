@@ -155,7 +155,8 @@ _HEADS = [["No", "From", "To", "Hours", "Operation", "Class"], ["序号", "开
 def q_map_columns(spark, sf_dir):
     heads = F.array(*[F.array(*[F.lit(c) for c in h]) for h in _HEADS])
     at = tables.map_columns(F.element_at(heads, (F.col("p_partkey") % 3 + 1).cast("int")), dims.TIME_COLUMNS)
-    return table(spark, sf_dir, "part").select("p_partkey", *[F.try_element_at(at, F.lit(f)).alias(f"{f}_at") for f in ("start", "end", "hours", "operation")])
+    rows = table(spark, sf_dir, "part", by="p_partkey").select("p_partkey", at.alias("at"))
+    return rows.select("p_partkey", *[F.try_element_at("at", F.lit(f)).alias(f"{f}_at") for f in ("start", "end", "hours", "operation")])
 
 
 _PHRASES = {"purchase": ("rotary drilling", "DRILL", "productive"), "view": ("run in hole", "TRIP_IN", "flat"), "click": ("circulate", "CIRCULATE", "flat"), "signup": ("casing", "CASING", "flat"), "error": ("pump failure", "REPAIR", "npt")}

@@ -65,16 +65,20 @@ def best_table(heads: DataFrame) -> DataFrame:
 
 
 def map_columns(head: Column, columns) -> Column:
-    """JN8: map of field to column index. Left to right each cell takes the first field that matches and is not taken yet."""
+    """JN8: map of field to column index. Left to right each cell takes the first field that matches and is not taken yet.
+
+    A cell is normalised and matched once, before the fold, for a lambda works out what it names anew wherever it names it.
+    """
     fields = [f for _, f in columns]
 
+    def matching(cell):
+        return U.let(T.normalize_label(cell), lambda label: F.array_compact(F.array(*[F.when(T.label_matches(label, names), f) for names, f in columns])))
+
     def step(taken, x):
-        label = T.normalize_label(x["cell"])
-        choices = F.array_compact(F.array(*[F.when(T.label_matches(label, names), f) for names, f in columns]))
-        free = F.try_element_at(F.filter(choices, lambda c: ~F.array_contains(F.map_keys(taken), c)), F.lit(1))
-        return F.when(free.isNull(), taken).otherwise(F.map_concat(taken, F.map_from_arrays(F.array(F.coalesce(free, F.lit(fields[0]))), F.array(x["at"]))))
+        free = F.try_element_at(F.filter(x["fields"], lambda c: ~F.array_contains(F.map_keys(taken), c)), F.lit(1))
+        return U.let(free, lambda f: F.when(f.isNull(), taken).otherwise(F.map_concat(taken, F.map_from_arrays(F.array(F.coalesce(f, F.lit(fields[0]))), F.array(x["at"])))))
 
-    cells = F.transform(head, lambda c, i: F.struct(c.alias("cell"), i.alias("at")))
+    cells = F.transform(head, lambda c, i: F.struct(matching(c).alias("fields"), i.alias("at")))
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
     return F.aggregate(cells, none, step)
 

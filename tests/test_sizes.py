@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from drillspark import dims
 from drillspark import operator_queries as Q
-from drillspark.operators import classify, spread
+from drillspark.functions import text as T
+from drillspark.operators import classify, spread, tables
 
 
 def plan(rows):
@@ -27,7 +29,17 @@ def test_a_text_is_folded_once_and_not_for_each_keyword(spark):
     assert plan(rows.select(classify.longest_keyword(F.lower("t"), [("a", "x"), ("b", "y")], negation="no$").alias("y"))).count("lower(") == 1
 
 
-@pytest.mark.parametrize("name", ["q_cascade", "q_classify"])
-def test_codes_of_one_row_group_are_worked_out_in_many_tasks(spark, packed, name):
+@pytest.mark.parametrize("name", ["q_cascade", "q_classify", "q_map_columns"])
+def test_rows_of_one_row_group_are_worked_out_in_many_tasks(spark, packed, name):
     rows = getattr(Q, name)(spark, packed)
     assert rows.rdd.getNumPartitions() > 4 and rows.count() == 2000
+
+
+def test_a_head_is_matched_once_a_field(spark):
+    head = F.array(F.lit("From"), F.col("id").cast("string"))
+    assert plan(spark.range(1).select(tables.map_columns(head, dims.TIME_COLUMNS).alias("y"))).count("RLIKE") == len(dims.TIME_COLUMNS)
+
+
+def test_labels_match_as_tokens(col):
+    cases = {"md": True, "md(m)": True, "md：": True, "m d": False, "mdx": False, "x md": True, "xmd": False, "井深 (m)": True, "原井深": True, "井深x": True}
+    assert dict(zip(cases, col(lambda x: T.label_matches(T.normalize_label(x), ["MD", "井深"]), list(cases)))) == cases
