@@ -12,6 +12,7 @@ from .functions import text as T
 from .functions import times as D
 from .functions import units as U
 from .operators import chain, classify, evaluate, events, header, privacy, reconcile, segment, stats, tables, timelog, validate
+from .operators.spread import dealt
 from .queries import query, table
 
 
@@ -181,9 +182,9 @@ def q_time_log(spark, sf_dir):
 @query("SELECT p_partkey::VARCHAR AS report_id, (p_partkey % 9 + 1)::INT AS bit_no, round(p_size / 4.0, 2) AS size_in, (p_partkey % 50)::DOUBLE AS depth_in_m, round((p_partkey % 70) * 0.3048::DOUBLE, 2) AS depth_out_m, p_size::DOUBLE AS footage_m FROM part")
 def q_bits(spark, sf_dir):
     k, size = F.col("p_partkey"), F.col("p_size")
-    parts = table(spark, sf_dir, "part")
-    cells = _cells(parts, k, {"Bit No": k % 9 + 1, "Size (in)": size / 4.0, "Depth In (m)": k % 50, "Depth Out (ft)": k % 70, "Footage": F.concat(size, F.lit(" m")), "Dull": F.lit("1-1-WT-A-X-I-NO-TD")})
-    detected = parts.select(k.cast("string").alias("doc_id"), F.lit("cn_vertical").alias("template_id"))
+    parts = dealt(table(spark, sf_dir, "part").withColumn("doc_id", k.cast("string")), "doc_id")
+    cells = _cells(parts, F.col("doc_id"), {"Bit No": k % 9 + 1, "Size (in)": size / 4.0, "Depth In (m)": k % 50, "Depth Out (ft)": k % 70, "Footage": F.concat(size, F.lit(" m")), "Dull": F.lit("1-1-WT-A-X-I-NO-TD")})
+    detected = parts.select("doc_id", F.lit("cn_vertical").alias("template_id"))
     return tables.bits(cells, detected).select("report_id", "bit_no", "size_in", "depth_in_m", "depth_out_m", "footage_m")
 
 

@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions import times as D
 from ..functions import units as U
 from .classify import classify, literal_map
+from .spread import dealt
 
 KEY = ["doc_id", "page", "table_idx"]
 
@@ -38,10 +39,16 @@ def ruled(cells: DataFrame) -> DataFrame:
 
 
 def as_rows(cells: DataFrame) -> DataFrame:
-    """SRC14: one row a table row, its cells as an array by column; missing ones are empty."""
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("col_idx", F.trim(F.coalesce("text", F.lit(""))).alias("text")))))
-    rows = cells.dropDuplicates([*KEY, "row_idx", "col_idx"]).groupBy(*KEY, "row_idx").agg(entries.alias("_m"), F.max("col_idx").alias("_w"))
-    return rows.select(*KEY, "row_idx", F.transform(F.sequence(F.lit(0), F.col("_w")), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(""))).alias("cells"))
+    """SRC14: one row a table row, its cells as an array by column; missing ones are empty, of double ones the first text stays.
+
+    Cells go to tasks by document, so that nothing of a document is shuffled again, and are only gathered there.
+    """
+    entries = F.sort_array(F.collect_list(F.struct("col_idx", F.trim(F.coalesce("text", F.lit(""))).alias("text"))))
+    rows = dealt(cells, "doc_id").groupBy(*KEY, "row_idx").agg(entries.alias("_e"), F.max("col_idx").alias("_w"))
+    full = (F.size("_e") == F.col("_w") + 1) & (F.size(F.array_distinct(F.col("_e.col_idx"))) == F.size("_e")) & (F.get(F.col("_e.col_idx"), 0) == 0)
+    first = F.filter("_e", lambda e, i: (i == 0) | (F.get(F.col("_e.col_idx"), i - 1) != e["col_idx"]))
+    by_column = U.let(F.map_from_entries(first), lambda m: F.transform(F.sequence(F.lit(0), F.col("_w")), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(""))))
+    return rows.select(*KEY, "row_idx", F.when(full, F.col("_e.text")).otherwise(by_column).alias("cells"))
 
 
 def signature_hits(row_text: Column, words) -> Column:
@@ -50,18 +57,26 @@ def signature_hits(row_text: Column, words) -> Column:
     return sum(parts[1:], parts[0])
 
 
-def header_rows(rows: DataFrame, kind: str, scan: int = 4, least: int = 2) -> DataFrame:
-    """JN9, JN11, SC55: for each table of a kind its header row, the one with most signature words among the first rows, the earliest of equals."""
-    hits = signature_hits(F.array_join("cells", " "), dims.TABLE_SIGNATURES[kind])
-    scored = rows.where(F.col("row_idx") < scan).withColumn("_h", hits)
-    best = scored.groupBy(*KEY).agg(F.max(F.struct(F.col("_h").alias("hits"), (-F.col("row_idx")).alias("neg"), F.col("cells").alias("head"))).alias("_b"))
-    return best.where(F.col("_b.hits") >= least).select(*KEY, F.col("_b.hits").alias("hits"), (-F.col("_b.neg")).alias("head_row"), F.col("_b.head").alias("head"))
+def with_heads(rows: DataFrame, kind: str, columns, scan: int = 4, least: int = 2) -> DataFrame:
+    """JN9, JN11, SC55: rows of tables of a kind with hits, head_row, head and columns of their table.
+
+    The header row is the one with most signature words among the first rows, the earliest of equals. All windows have one
+    order, that of a document's rows, so rows are sorted once.
+    """
+    table = W.partitionBy(*KEY).orderBy("row_idx").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    score = F.when(F.col("row_idx") < scan, F.struct(signature_hits(F.array_join("cells", " "), dims.TABLE_SIGNATURES[kind]).alias("hits"), (-F.col("row_idx")).alias("neg")))
+    best = rows.where(" and ".join(f"{k} is not null" for k in KEY)).withColumn("_s", score).withColumn("_b", F.max("_s").over(table)).where(F.col("_b.hits") >= least)
+    here = F.col("row_idx") == -F.col("_b.neg")
+    own = best.withColumn("_h", F.when(here, F.struct(F.col("cells").alias("head"), map_columns(F.col("cells"), columns).alias("columns"))))
+    told = own.withColumn("_h", F.first("_h", ignorenulls=True).over(table))
+    return told.select(*KEY, "row_idx", "cells", F.col("_b.hits").alias("hits"), (-F.col("_b.neg")).alias("head_row"), F.col("_h.head").alias("head"), F.col("_h.columns").alias("columns"))
 
 
-def best_table(heads: DataFrame) -> DataFrame:
+def best_table(rows: DataFrame) -> DataFrame:
     """JN10: of a document's tables of a kind the one with most hits, the earliest of equals."""
-    w = W.partitionBy("doc_id").orderBy(F.desc("hits"), "page", "table_idx")
-    return heads.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    document = W.partitionBy("doc_id").orderBy("page", "table_idx", "row_idx").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rank = F.struct((-F.col("hits")).alias("hits"), F.col("page").alias("page"), F.col("table_idx").alias("table_idx"))
+    return rows.withColumn("_r", rank).withColumn("_k", F.min("_r").over(document)).where("_r = _k").drop("_r", "_k")
 
 
 def map_columns(head: Column, columns) -> Column:
@@ -94,10 +109,8 @@ def _label(field: str) -> Column:
 
 def data_rows(cells: DataFrame, kind: str, columns, every: bool) -> DataFrame:
     """Rows below the header of all tables of a kind (SET3: continuation tables one after another) or of the best one; without totals, blank rows and repeated headers (FLT8, FLT9)."""
-    rows = as_rows(cells)
-    heads = header_rows(rows, kind)
-    heads = (heads if every else best_table(heads)).withColumn("columns", map_columns(F.col("head"), columns))
-    body = rows.join(heads, KEY).where(F.col("row_idx") > F.col("head_row"))
+    rows = with_heads(as_rows(cells), kind, columns)
+    body = (rows if every else best_table(rows)).where(F.col("row_idx") > F.col("head_row"))
     joined = F.array_join("cells", " ")
     return body.where((F.trim(joined) != "") & ~T.is_total_row(joined) & (F.col("cells") != F.col("head")))
 
@@ -140,38 +153,46 @@ def _units_of(template: Column, key: str, override: bool = False, templates: tup
     return F.try_element_at(literal_map(pairs), template) if pairs else F.lit(None).cast("string")
 
 
-def _number(field: str, kind: str, key: str, templates: tuple[dims.Template, ...]) -> Column:
+def _numbers(body: DataFrame, kinds, plain, templates: tuple[dims.Template, ...], override: bool) -> DataFrame:
+    """Cells as columns by field, and a struct of U.resolve_number for each (field, kind, key of the template's units).
+
+    Cells are looked up in one projection and numbers resolved in the next, so that neither is worked out again where it is named.
+    """
+    looked = body.select("doc_id", "ord", "template_id", *[_cell(f).alias(f) for f in (*plain, *(f for f, _, _ in kinds))], *[_label(f).alias(f"_label_{f}") for f, _, _ in kinds])
     t = F.col("template_id")
-    return U.resolve_number(_cell(field), kind, _label(field), _units_of(t, key, templates=templates), _units_of(t, key, True, templates))
+    unit_of = lambda key, own: _units_of(t, key, own, templates)
+    return looked.select("doc_id", "ord", *plain, *[f for f, _, _ in kinds], *[U.resolve_number(F.col(f), kind, F.col(f"_label_{f}"), unit_of(key, False), unit_of(key, True) if override else None).alias(f"_{f}") for f, kind, key in kinds])
 
 
 def bits(cells: DataFrame, detected: DataFrame, templates: tuple[dims.Template, ...] = dims.TEMPLATES) -> DataFrame:
     """EX5, WIN11, SC39: bit records of the best table, in target units."""
-    body = data_rows(cells, "bit_record", dims.BIT_COLUMNS, every=False).join(detected.select("doc_id", "template_id"), "doc_id", "left")
-    type_of = F.try_element_at(literal_map(dims.BIT_TYPES), F.lower(_cell("type")))
-    fields = {f: _number(f, kind, key, templates) for f, kind, key in (("size_in", "diameter", "bit_size"), ("depth_in_m", "length", "depth"), ("depth_out_m", "length", "depth"), ("footage_m", "length", "footage"), ("rop_m_per_h", "speed", "rop"), ("wob_kgf", "force", "wob"), ("flow_lps", "flow", "flow"))}
+    body = data_rows(cells, "bit_record", dims.BIT_COLUMNS, every=False).withColumn("ord", _ord()).join(detected.select("doc_id", "template_id"), "doc_id", "left")
+    kinds = (("size_in", "diameter", "bit_size"), ("depth_in_m", "length", "depth"), ("depth_out_m", "length", "depth"), ("footage_m", "length", "footage"), ("rop_m_per_h", "speed", "rop"), ("wob_kgf", "force", "wob"), ("flow_lps", "flow", "flow"))
+    texts = ("make", "model", "type", "iadc_code", "nozzles_32nds", "dull_grade")
     rounds = {"wob_kgf": 1, "flow_lps": 1}
-    return body.select(
-        F.col("doc_id").alias("report_id"), _ord().alias("ord"), F.coalesce(F.nullif(U.to_int(_cell("bit_no")), F.lit(0)), _ord()).alias("bit_no"),
-        *[_cell(f).alias(f) for f in ("make", "model")], F.coalesce(type_of, _cell("type")).alias("type"), _cell("iadc_code").alias("iadc_code"), _cell("nozzles_32nds").alias("nozzles_32nds"),
-        *[U.rounded(v["si"], rounds.get(f, 2)).alias(f) for f, v in fields.items()], U.to_float(_cell("hours")).alias("hours"), U.to_float(_cell("rpm")).alias("rpm"),
-        _cell("dull_grade").alias("dull_grade"), T.dull_grade(_cell("dull_grade")).alias("dull_grade_parsed"), F.array_distinct(F.flatten(F.array(*[v["notes"] for v in fields.values()]))).alias("warnings"),
+    type_of = F.try_element_at(literal_map(dims.BIT_TYPES), F.lower("type"))
+    return _numbers(body, kinds, (*texts, "bit_no", "hours", "rpm"), templates, True).select(
+        F.col("doc_id").alias("report_id"), "ord", F.coalesce(F.nullif(U.to_int(F.col("bit_no")), F.lit(0)), F.col("ord")).alias("bit_no"),
+        "make", "model", F.coalesce(type_of, F.col("type")).alias("type"), "iadc_code", "nozzles_32nds",
+        *[U.rounded(F.col(f"_{f}.si"), rounds.get(f, 2)).alias(f) for f, _, _ in kinds], U.to_float(F.col("hours")).alias("hours"), U.to_float(F.col("rpm")).alias("rpm"),
+        "dull_grade", T.dull_grade(F.col("dull_grade")).alias("dull_grade_parsed"), F.array_distinct(F.flatten(F.array(*[F.col(f"_{f}.notes") for f, _, _ in kinds]))).alias("warnings"),
     )
 
 
 def mud(cells: DataFrame, detected: DataFrame, templates: tuple[dims.Template, ...] = dims.TEMPLATES) -> DataFrame:
     """EX6, SC20, JN23: mud samples of the best table; a value without any unit keeps its raw number, and raw says so."""
-    body = data_rows(cells, "mud", dims.MUD_COLUMNS, every=False).join(detected.select("doc_id", "template_id"), "doc_id", "left")
-    fields = {f: U.resolve_number(_cell(f), kind, _label(f), _units_of(F.col("template_id"), key, templates=templates)) for f, kind, key in (("depth_m", "length", "depth"), ("density_gcc", "density", "density"), ("volume_m3", "volume", "volume"), ("pv_mpas", "viscosity", "viscosity"))}
+    body = data_rows(cells, "mud", dims.MUD_COLUMNS, every=False).where(_cell("sample_point").isNotNull()).withColumn("ord", _ord()).join(detected.select("doc_id", "template_id"), "doc_id", "left")
+    kinds = (("depth_m", "length", "depth"), ("density_gcc", "density", "density"), ("volume_m3", "volume", "volume"), ("pv_mpas", "viscosity", "viscosity"))
     plain = ("funnel_viscosity_s", "yp_pa", "gel_10s_pa", "gel_10min_pa", "fl_ml", "ph", "chlorides_mg_l", "sand_pct", "solids_pct")
+    texts = ("oil_water_ratio", "mud_type")
     rounds = {"density_gcc": 3, "depth_m": 1, "volume_m3": 1}
-    point = F.when(_cell("sample_point").isNotNull(), F.coalesce(F.try_element_at(literal_map(dims.SAMPLE_POINTS), F.lower(_cell("sample_point"))), F.lit("other")))
+    point = F.when(F.col("sample_point").isNotNull(), F.coalesce(F.try_element_at(literal_map(dims.SAMPLE_POINTS), F.lower("sample_point")), F.lit("other")))
     source = lambda v: F.when(v["si"].isNull() & v["raw"].isNotNull(), "unknown_raw").otherwise(v["unit_source"])
-    raw = F.map_from_entries(F.array_compact(F.array(*[F.when(_cell(f).isNotNull(), F.struct(F.lit(f).alias("key"), F.concat_ws(" ", _cell(f), F.concat(F.lit("["), source(v), F.lit("]"))).alias("value"))) for f, v in fields.items()])))
-    return body.where(_cell("sample_point").isNotNull()).select(
-        F.col("doc_id").alias("report_id"), _ord().alias("ord"), point.alias("sample_point"), *[U.rounded(U.kept(v), rounds.get(f, 2)).alias(f) for f, v in fields.items()],
-        *[U.to_float(_cell(f)).alias(f) for f in plain], *[_cell(f).alias(f) for f in ("oil_water_ratio", "mud_type")], raw.alias("raw"),
-        F.array_distinct(F.flatten(F.array(*[v["notes"] for v in fields.values()]))).alias("warnings"),
+    raw = F.map_from_entries(F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.struct(F.lit(f).alias("key"), F.concat_ws(" ", F.col(f), F.concat(F.lit("["), source(F.col(f"_{f}")), F.lit("]"))).alias("value"))) for f, _, _ in kinds])))
+    return _numbers(body, kinds, ("sample_point", *plain, *texts), templates, False).select(
+        F.col("doc_id").alias("report_id"), "ord", point.alias("sample_point"), *[U.rounded(U.kept(F.col(f"_{f}")), rounds.get(f, 2)).alias(f) for f, _, _ in kinds],
+        *[U.to_float(F.col(f)).alias(f) for f in plain], *texts, raw.alias("raw"),
+        F.array_distinct(F.flatten(F.array(*[F.col(f"_{f}.notes") for f, _, _ in kinds]))).alias("warnings"),
     )
 
 

@@ -43,3 +43,29 @@ def test_a_head_is_matched_once_a_field(spark):
 def test_labels_match_as_tokens(col):
     cases = {"md": True, "md(m)": True, "md：": True, "m d": False, "mdx": False, "x md": True, "xmd": False, "井深 (m)": True, "原井深": True, "井深x": True}
     assert dict(zip(cases, col(lambda x: T.label_matches(T.normalize_label(x), ["MD", "井深"]), list(cases)))) == cases
+
+
+def cells_of(spark, n=200):
+    texts = [(f"d{d % n}", 1, 0, r, c, t) for d in range(n) for r, row in enumerate((["Bit No", "Size (in)", "Footage"], [str(d), "8.5", "10 m"])) for c, t in enumerate(row)]
+    return spark.createDataFrame([*texts, ("d0", 1, 0, 1, 0, "0"), ("d1", 1, 0, 1, 4, "far")], "doc_id string, page int, table_idx int, row_idx int, col_idx int, text string")
+
+
+def test_cells_are_shuffled_once_for_a_table(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = tables.data_rows(cells_of(spark), "bit_record", dims.BIT_COLUMNS, every=False)
+        assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert rows.count() == 200
+
+
+def test_rows_of_cells_with_gaps_and_doubles(spark):
+    found = {(r.doc_id, r.row_idx): r.cells for r in tables.as_rows(cells_of(spark, 3)).collect()}
+    assert found["d0", 1] == ["0", "8.5", "10 m"] and found["d1", 1] == ["1", "8.5", "10 m", "", "far"] and found["d2", 0] == ["Bit No", "Size (in)", "Footage"]
+
+
+@pytest.mark.parametrize("name", ["q_bits"])
+def test_tables_of_one_row_group_are_read_in_many_tasks(spark, packed, name):
+    rows = getattr(Q, name)(spark, packed)
+    assert rows.rdd.getNumPartitions() > 4 and rows.count() == 2000
