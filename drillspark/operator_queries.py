@@ -191,9 +191,9 @@ def q_bits(spark, sf_dir):
 @query("SELECT p_partkey::VARCHAR AS report_id, CASE p_partkey % 3 WHEN 0 THEN 'flowline' WHEN 1 THEN 'pit' ELSE 'other' END AS sample_point, round((p_size % 20) * 0.1198264::DOUBLE, 3) AS density_gcc, (p_size % 11)::DOUBLE AS fl_ml FROM part")
 def q_mud(spark, sf_dir):
     k, size = F.col("p_partkey"), F.col("p_size")
-    parts = table(spark, sf_dir, "part")
-    cells = _cells(parts, k, {"Sample Point": _by(k, ["出口", "pit", "elsewhere"]), "MW (ppg)": size % 20, "API FL": size % 11, "pH": F.lit("9")})
-    detected = parts.select(k.cast("string").alias("doc_id"), F.lit("iadc_classic").alias("template_id"))
+    parts = dealt(table(spark, sf_dir, "part").withColumn("doc_id", k.cast("string")), "doc_id")
+    cells = _cells(parts, F.col("doc_id"), {"Sample Point": _by(k, ["出口", "pit", "elsewhere"]), "MW (ppg)": size % 20, "API FL": size % 11, "pH": F.lit("9")})
+    detected = parts.select("doc_id", F.lit("iadc_classic").alias("template_id"))
     return tables.mud(cells, detected).select("report_id", "sample_point", "density_gcc", "fl_ml")
 
 

@@ -65,7 +65,7 @@ def test_rows_of_cells_with_gaps_and_doubles(spark):
     assert found["d0", 1] == ["0", "8.5", "10 m"] and found["d1", 1] == ["1", "8.5", "10 m", "", "far"] and found["d2", 0] == ["Bit No", "Size (in)", "Footage"]
 
 
-@pytest.mark.parametrize("name", ["q_bits"])
+@pytest.mark.parametrize("name", ["q_bits", "q_mud"])
 def test_tables_of_one_row_group_are_read_in_many_tasks(spark, packed, name):
     rows = getattr(Q, name)(spark, packed)
     assert rows.rdd.getNumPartitions() > 4 and rows.count() == 2000
