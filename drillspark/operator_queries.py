@@ -174,6 +174,7 @@ def _cells(rows, key, columns: dict):
   CASE event_type {' '.join(f"WHEN '{e}' THEN '{c}'" for e, (_, _, c) in _PHRASES.items())} END AS category, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ord FROM events QUALIFY event_id % 5 > 0""")
 def q_time_log(spark, sf_dir):
     own = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("doc_id"), (F.col("event_id") + 1).alias("row_idx"), F.date_format("ts", "HH:mm").alias("c0"), F.lit("").alias("c1"), F.concat(F.col("event_id") % 5, F.lit(" h")).alias("c2"), F.try_element_at(classify.literal_map({e: p for e, (p, _, _) in _PHRASES.items()}), F.col("event_type")).alias("c3"))
+    own = dealt(own, "doc_id")
     heads = own.select("doc_id").distinct().select("doc_id", F.lit(0).cast("long").alias("row_idx"), *[F.lit(h).alias(f"c{i}") for i, h in enumerate(("From", "To", "Hours", "Operation"))])
     cells = own.union(heads).select("doc_id", F.lit(1).alias("page"), F.lit(0).alias("table_idx"), "row_idx", F.posexplode(F.array("c0", "c1", "c2", "c3")).alias("col_idx", "text"))
     return tables.time_log(cells).select("report_id", "start", "hours", "code", "category", F.col("ord").cast("long").alias("ord"))

@@ -20,6 +20,10 @@ def packed(spark, tmp_path, monkeypatch):
     k = F.col("id")
     part = spark.range(0, 2000, 1, 1).select(k.alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), (k % 50 + 1).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice"))
     part.write.parquet(f"{tmp_path}/part.parquet")
+    events = spark.range(0, 2000, 1, 1).select(k.alias("event_id"), F.timestamp_seconds(k).alias("ts"), (k % 100).alias("user_id"), F.lit("error").alias("event_type"), F.lit(1.0).alias("value"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    customer = spark.range(0, 2000, 1, 1).select(k.alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"), F.lit("m").alias("c_mktsegment"))
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
     return str(tmp_path)
 
 
@@ -69,3 +73,8 @@ def test_rows_of_cells_with_gaps_and_doubles(spark):
 def test_tables_of_one_row_group_are_read_in_many_tasks(spark, packed, name):
     rows = getattr(Q, name)(spark, packed)
     assert rows.rdd.getNumPartitions() > 4 and rows.count() == 2000
+
+
+def test_entries_of_one_row_group_are_read_in_many_tasks(spark, packed):
+    rows = Q.q_time_log(spark, packed)
+    assert rows.rdd.getNumPartitions() > 4 and rows.count() == 1600
