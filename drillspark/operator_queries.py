@@ -397,7 +397,7 @@ def q_privacy(spark, sf_dir):
 @query("""SELECT c_custkey AS location, 'text has the shape of an organisation: Holdings' AS message, '…' || right('seen by Beta' || (c_custkey % 20) || ' ', 12) || 'Holdings' AS evidence FROM customer WHERE c_custkey % 20 >= 10""")
 def q_mentions(spark, sf_dir):
     k = F.col("c_custkey")
-    texts = table(spark, sf_dir, "customer").select(k.alias("location"), F.concat(F.lit("seen by Beta"), k % 20, F.lit(" Holdings today")).alias("text"))
+    texts = table(spark, sf_dir, "customer", by="c_custkey").select(k.alias("location"), F.concat(F.lit("seen by Beta"), k % 20, F.lit(" Holdings today")).alias("text"))
     allow = spark.range(10).select(F.lit("org").alias("kind"), F.concat(F.lit("bybeta"), "id", F.lit("holdings")).alias("name"))
     return privacy.mentions(texts, allow).select("location", "message", "evidence")
 

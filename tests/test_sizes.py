@@ -78,3 +78,9 @@ def test_tables_of_one_row_group_are_read_in_many_tasks(spark, packed, name):
 def test_entries_of_one_row_group_are_read_in_many_tasks(spark, packed):
     rows = Q.q_time_log(spark, packed)
     assert rows.rdd.getNumPartitions() > 4 and rows.count() == 1600
+
+
+def test_mentions_of_one_row_group_are_looked_for_in_many_tasks(spark, packed):
+    texts = Q.table(spark, packed, "customer", by="c_custkey")
+    rows = Q.q_mentions(spark, packed)
+    assert texts.rdd.getNumPartitions() > 4 and plan(rows).count("RepartitionByExpression") == 2 and rows.count() == 1000
