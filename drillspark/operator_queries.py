@@ -300,7 +300,7 @@ def q_reconcile(spark, sf_dir):
         F.array().cast("array<struct<hours:double>>").alias("npt_events"), (md + plus(19)).alias("md_m"), none.alias("progress_m"), bit(F.lit(5) + plus(9), F.when(k % 10 == 0, "b").otherwise("a")).alias("bit_records"),
         F.struct((F.lit(1.2) + plus(5)).alias("density_gcc"), F.lit(4.0).alias("fl_ml"), F.lit(40.0).alias("funnel_viscosity_s")).alias("mud"),
     )
-    days = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("well_name"), k.cast("string").alias("report_date"), k.alias("ord"), payload.alias("payload"), truth.alias("truth"))
+    days = dealt(table(spark, sf_dir, "orders").withColumn("well_name", F.col("o_custkey").cast("string")), "well_name").select("well_name", k.cast("string").alias("report_date"), k.alias("ord"), payload.alias("payload"), truth.alias("truth"))
     return reconcile.check_dataset(days).select(F.col("report_date").cast("long").alias("k"), "field")
 
 

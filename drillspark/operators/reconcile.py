@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.units import approx
 from .classify import is_connection, is_npt
-from .validate import issues
+from .validate import broken
 
 
 def _sum(entries: Column, keep) -> Column:
@@ -25,10 +25,13 @@ def _differs(a: Column, b: Column, same) -> Column:
 
 
 def check_dataset(days: DataFrame) -> DataFrame:
-    """VAL7: (well_name, report_date, field, severity, message) over days (well_name, report_date, ord, payload struct, truth struct)."""
+    """VAL7: (well_name, report_date, field, severity, message, ord) over days (well_name, report_date, ord, payload struct, truth struct).
+
+    All rules but one look at a day alone. They are judged first, so that a well's days are sorted as depths and broken rules,
+    not with payload and truth.
+    """
     none = lambda c: F.coalesce(c, F.array())
     before = W.partitionBy("well_name").orderBy("ord").rowsBetween(W.unboundedPreceding, -1)
-    rows = days.withColumn("_prev", F.last("payload.report.md_m", ignorenulls=True).over(before))
     log, truth_log = none(F.col("payload.time_log")), none(F.col("truth.time_log"))
     any_ = lambda e: F.lit(True)
     connection = lambda e: F.coalesce(is_connection(e["operation"]), F.lit(False))
@@ -40,7 +43,7 @@ def check_dataset(days: DataFrame) -> DataFrame:
     pairs = F.least(F.size(bits), F.size(truth_bits))
     b, tb = shorter(bits, pairs), shorter(truth_bits, pairs)
     say = F.lit
-    return issues(rows, ["well_name", "report_date"], [
+    rules = list(enumerate([
         ("sum_hours", "error", ~approx(_sum(log, any_), F.lit(24.0)), F.format_string("hours sum to %.2f", _sum(log, any_))),
         ("time_log", "error", F.size(log) != F.size(truth_log), F.format_string("%d entries, truth has %d", F.size(log), F.size(truth_log))),
         ("time_log.hours", "error", _differs(truth_log, log, lambda t, p: approx(t["hours"], p["hours"])), say("hours of an entry differ")),
@@ -52,7 +55,7 @@ def check_dataset(days: DataFrame) -> DataFrame:
         ("npt_events", "error", F.size(none(F.col("truth.npt_events"))) != _count(log, npt), say("NPT entries differ in number")),
         ("md_m", "error", ~approx(F.col("truth.md_m"), md, 0.005), say("depths differ")),
         ("progress_m", "error", ~approx(F.col("truth.progress_m"), progress, 0.005), say("progress differs")),
-        ("md_regression", "error", md + 1e-6 < F.col("_prev"), F.format_string("depth %.2f after %.2f", md, F.col("_prev"))),
+        ("md_regression", "error", F.col("_md") + 1e-6 < F.col("_prev"), F.format_string("depth %.2f after %.2f", F.col("_md"), F.col("_prev"))),
         ("progress", "error", start.isNotNull() & md.isNotNull() & ~approx(F.bround(md - start, 2), progress, 0.02), say("progress is not the difference of depths")),
         ("bit_records", "error", F.size(bits) != F.size(truth_bits), say("bit records differ in number")),
         ("bit_footage", "error", _differs(tb, b, lambda t, p: approx(t["footage_m"], p["footage_m"], 0.02)), say("bit footage differs")),
@@ -62,4 +65,9 @@ def check_dataset(days: DataFrame) -> DataFrame:
         ("mud_density", "error", flow.isNotNull() & ~approx(F.col("truth.mud.density_gcc"), flow["density_gcc"], 0.005), say("mud density differs")),
         ("mud_fl", "error", flow.isNotNull() & ~approx(F.col("truth.mud.fl_ml"), flow["fl_ml"], 0.02), say("fluid loss differs")),
         ("mud_viscosity", "error", flow.isNotNull() & ~approx(F.col("truth.mud.funnel_viscosity_s"), flow["funnel_viscosity_s"], 0.02), say("viscosity differs")),
-    ])
+    ]))
+    alone, along = [r for r in rules if r[1][0] != "md_regression"], [r for r in rules if r[1][0] == "md_regression"]
+    slim = days.select("well_name", "report_date", "ord", md.alias("_md"), broken(alone).alias("_found"))
+    rows = slim.withColumn("_prev", F.last("_md", ignorenulls=True).over(before))
+    found = F.concat(F.filter("_found", lambda x: x["ord"] < along[0][0]), broken(along), F.filter("_found", lambda x: x["ord"] > along[0][0]))
+    return rows.select("well_name", "report_date", F.inline(found))

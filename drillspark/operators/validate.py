@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from .. import dims
 
 
+def broken(rules: list[tuple[int, tuple[str, str, Column, Column]]]) -> Column:
+    """Numbered rules as an array of (field, severity, message, ord) of those that a row breaks."""
+    return F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(f).alias("field"), F.lit(s).alias("severity"), msg.cast("string").alias("message"), F.lit(i).alias("ord"))) for i, (f, s, cond, msg) in rules]))
+
+
 def issues(rows: DataFrame, keys: list[str], rules: list[tuple[str, str, Column, Column]]) -> DataFrame:
     """keys, field, severity, message, ord: one row for every rule that a row breaks."""
-    found = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(f).alias("field"), F.lit(s).alias("severity"), msg.cast("string").alias("message"), F.lit(i).alias("ord"))) for i, (f, s, cond, msg) in enumerate(rules)]))
-    return rows.select(*keys, F.inline(found))
+    return rows.select(*keys, F.inline(broken(list(enumerate(rules)))))
 
 
 def _off(a: Column, b: Column) -> Column:

@@ -22,6 +22,7 @@ def packed(spark, tmp_path, monkeypatch):
     part.write.parquet(f"{tmp_path}/part.parquet")
     events = spark.range(0, 2000, 1, 1).select(k.alias("event_id"), F.timestamp_seconds(k).alias("ts"), (k % 100).alias("user_id"), F.lit("error").alias("event_type"), F.lit(1.0).alias("value"))
     events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(0, 2000, 1, 1).select((k % 100).alias("o_custkey"), k.alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
     customer = spark.range(0, 2000, 1, 1).select(k.alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"), F.lit("m").alias("c_mktsegment"))
     customer.write.parquet(f"{tmp_path}/customer.parquet")
     return str(tmp_path)
@@ -84,3 +85,11 @@ def test_mentions_of_one_row_group_are_looked_for_in_many_tasks(spark, packed):
     texts = Q.table(spark, packed, "customer", by="c_custkey")
     rows = Q.q_mentions(spark, packed)
     assert texts.rdd.getNumPartitions() > 4 and plan(rows).count("RepartitionByExpression") == 2 and rows.count() == 1000
+
+
+def test_days_are_sorted_without_payload_and_truth(spark, packed):
+    rows = Q.q_reconcile(spark, packed)
+    window = next(x for x in plan(rows).splitlines() if "Window [" in x)
+    below = plan(rows).split(window)[1].splitlines()[1]
+    assert " AS _found#" in below and " AS payload#" not in below
+    assert rows.rdd.getNumPartitions() > 4
